@@ -1,0 +1,102 @@
+"""Wire form of the change envelope, for clusters without Spark's protobuf package.
+
+Seven fields, two wire kinds: a base-128 integer, or a length and that many bytes.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+
+_NAMES = {1: "executeTime", 2: "schemaName", 3: "tableName", 4: "eventType",
+          14: "logfileOffset", 15: "logfileName"}
+_NUMBERS = {1, 14}
+
+
+def _integer(data: bytes, at: int) -> tuple[int, int]:
+    value = shift = 0
+    while True:
+        byte = data[at]
+        at += 1
+        value |= (byte & 127) << shift
+        if byte < 128:
+            return value, at
+        shift += 7
+        if shift > 63:
+            raise ValueError("integer too long")
+
+
+def _fields(data: bytes):
+    at = 0
+    while at < len(data):
+        tag, at = _integer(data, at)
+        size, at = _integer(data, at)
+        if tag & 7 == 0:
+            yield tag >> 3, size
+        elif tag & 7 == 2:
+            if at + size > len(data):
+                raise ValueError("truncated")
+            yield tag >> 3, data[at:at + size]
+            at += size
+        else:
+            raise ValueError("unexpected wire kind")
+
+
+def _read(data: bytes | None) -> dict:
+    # Absent fields of a message mean zero and the empty text.
+    row = {n: (0 if k in _NUMBERS else "") for k, n in _NAMES.items()}
+    columns = {}
+    for number, value in _fields(data):
+        if number == 5:
+            pair = dict(_fields(value))
+            columns[pair.get(1, b"").decode()] = pair.get(2, b"").decode()
+        elif number in _NUMBERS:
+            row[_NAMES[number]] = value
+        elif number in _NAMES:
+            row[_NAMES[number]] = value.decode()
+    row["columns"] = columns
+    return row
+
+
+def read_batch(values: pd.Series) -> pd.DataFrame:
+    names = ["logfileName", "logfileOffset", "executeTime", "schemaName", "tableName",
+             "eventType", "columns"]
+    rows = []
+    for value in values:
+        try:
+            rows.append(_read(value))
+        except (ValueError, IndexError, TypeError, AttributeError):
+            rows.append(dict.fromkeys(names))
+    out = pd.DataFrame(rows, columns=names)
+    for n in ("logfileOffset", "executeTime"):
+        out[n] = out[n].astype("Int64")
+    return out
+
+
+def _varint(n: int) -> bytes:
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    out.append(n)
+    return bytes(out)
+
+
+def _text(number: int, value: str | None) -> bytes:
+    raw = (value or "").encode()
+    return _varint(number << 3 | 2) + _varint(len(raw)) + raw if raw else b""
+
+
+def write_batch(rows: pd.DataFrame) -> pd.Series:
+    def one(row) -> bytes:
+        out = bytearray()
+        if row.executeTime:
+            out += b"\x08" + _varint(int(row.executeTime))
+        out += _text(2, row.schemaName) + _text(3, row.tableName) + _text(4, row.eventType)
+        for entry in row.columns if row.columns is not None else ():
+            pair = _text(1, entry["key"]) + _text(2, entry["value"])
+            out += b"\x2a" + _varint(len(pair)) + pair
+        if row.logfileOffset:
+            out += b"\x70" + _varint(int(row.logfileOffset))
+        return bytes(out + _text(15, row.logfileName))
+
+    return pd.Series([one(r) for r in rows.itertuples(index=False)])
