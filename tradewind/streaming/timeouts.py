@@ -64,6 +64,8 @@ def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Co
             a, b, c, d = state.get
             firsts, seconds = list(zip(a, b)), list(zip(c, d))
         for part in rows:
+            if part.empty:  # a time-out call brings no events
+                continue
             mine = part[part["_first"] & part["_home"]]
             firsts += list(zip(mine["_us"].tolist(), mine["_tie"].tolist()))
             pays = part[part["_second"]]
