@@ -57,14 +57,20 @@ def province_table(spark: SparkSession) -> DataFrame:
 
 def ip_number(ip: Column) -> Column:
     """Dotted address to a number. From the first part that is no number on, parts count as 0."""
-    parts = F.filter(F.split(ip, r"\."), lambda p: p != "")
-    numbers = [F.get(parts, F.lit(i)).try_cast("int") for i in range(4)]
-    total, good = F.lit(0).cast("bigint"), F.lit(True)
-    for n in numbers:
-        good = good & n.isNotNull()
-        byte = F.when(good, n.bitwiseAND(F.lit(255))).otherwise(0).cast("bigint")
-        total = total * 256 + byte
-    return F.when(ip.isNotNull(), total)
+    def take(seen: Column, part: Column) -> Column:
+        number = part.try_cast("int")
+        good = seen["good"] & number.isNotNull()
+        byte = F.when(good, number.bitwiseAND(F.lit(255))).otherwise(0).cast("bigint")
+        taken = F.struct((seen["total"] * 256 + byte).alias("total"),
+                         (seen["parts"] + 1).alias("parts"), good.alias("good"))
+        return F.when((part == "") | (seen["parts"] == 4), seen).otherwise(taken)
+
+    start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).alias("parts"),
+                     F.lit(True).alias("good"))
+    # Parts that are not there at all count as 0 as well.
+    place = lambda seen: seen["total"] * F.element_at(
+        F.array(*[F.lit(256 ** (4 - n)) for n in range(5)]), seen["parts"] + 1)
+    return F.aggregate(F.split(ip, r"\."), start, take, place)
 
 
 def ip_text(number: Column) -> Column:

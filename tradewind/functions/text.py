@@ -56,11 +56,12 @@ def parse_cart(value: Column) -> Column:
 
 
 def parse_comment(value: Column) -> Column:
-    """Comment message; the attachment text is taken from whichever field carries it."""
-    c = F.from_json(value, schemas.ddl(schemas.COMMENT))
-    return F.when(c.isNotNull(), c.withField(
-        "assetsViedoJSON", F.coalesce(c["assetsViedoJSON"], c["imageViedoJSON"])
-    ).dropFields("imageViedoJSON"))
+    return F.from_json(value, schemas.ddl(schemas.COMMENT))
+
+
+def attachment(comment: str) -> Column:
+    """The attachment text of a parsed comment, from whichever of its two fields carries it."""
+    return F.coalesce(f"{comment}.assetsViedoJSON", f"{comment}.imageViedoJSON").alias("assetsViedoJSON")
 
 
 def parse_dimension(value: Column, table: str) -> Column:

@@ -32,7 +32,10 @@ def decode(df: DataFrame, value: str = "value", *, descriptor: str | None = None
         return parsed.select(*kept, *[F.col(f"_e.{n}").cast(t).alias(n) for n, t in schemas.CHANGE])
     from tradewind.sources import envelope
 
-    read = F.pandas_udf(envelope.read_batch, schemas.ddl(schemas.CHANGE))
+    kinds = ",".join(f"{n}:{t}" for n, t in schemas.CHANGE)
+    # Not deterministic as far as the planner knows: else filters on the fields pull a second
+    # evaluation of the whole decode below them.
+    read = F.arrow_udf(envelope.read_batch, f"struct<{kinds}>").asNondeterministic()
     parsed = df.select(*kept, read(F.col(value)).alias("_e"))
     return parsed.select(*kept, *[F.col(f"_e.{n}").alias(n) for n, _ in schemas.CHANGE])
 
@@ -46,10 +49,7 @@ def encode(df: DataFrame, *, descriptor: str | None = None) -> DataFrame:
         return df.select(to_protobuf(row, MESSAGE, descFilePath=descriptor).alias("value"))
     from tradewind.sources import envelope
 
-    # A map does not cross into pandas as a dict column of its own; its entries do.
-    flat = F.struct(*[F.col(n) for n, _ in schemas.CHANGE if n != "columns"],
-                    F.map_entries("columns").alias("columns"))
-    return df.select(F.pandas_udf(envelope.write_batch, "binary")(flat).alias("value"))
+    return df.select(envelope.write().alias("value"))
 
 
 def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -64,18 +64,18 @@ def flatten_log(batches: DataFrame) -> DataFrame:
     Transaction marks are skipped. Inserts and updates carry the row after the change, deletes
     the row before it.
     """
-    entries = batches.select(F.explode("entries").alias("e")).filter(
-        ~F.col("e.entryType").isin(*TRANSACTION_MARKS))
-    rows = entries.select("e", F.explode("e.rowDatas").alias("r"))
-    event = F.lower("e.eventType")
-    pairs = F.when(event == "delete", F.col("r.beforeColumns")).when(
+    changed = F.filter("entries", lambda e: ~e["entryType"].isin(*TRANSACTION_MARKS))
+    header = ["logfileName", "logfileOffset", "executeTime", "schemaName", "tableName"]
+    # Header fields and rows part ways before the second explode, so that an entry's whole list
+    # of rows is not copied along with each of them.
+    entries = batches.select(F.explode(changed).alias("e")).select(
+        *[f"e.{h}" for h in header], F.lower("e.eventType").alias("eventType"), "e.rowDatas")
+    rows = entries.select(*header, "eventType", F.explode("rowDatas").alias("r"))
+    event = F.col("eventType")
+    image = F.when(event == "delete", F.col("r.beforeColumns")).when(
         event.isin("insert", "update"), F.col("r.afterColumns"))
-    named = F.transform(pairs, lambda c: F.struct(c["name"], c["value"]))
-    return rows.select(
-        "e.logfileName", "e.logfileOffset", "e.executeTime", "e.schemaName", "e.tableName",
-        event.alias("eventType"),
-        F.coalesce(F.map_from_entries(named),
-                   F.create_map().cast("map<string,string>")).alias("columns"))
+    return rows.select(*header, event, F.coalesce(
+        F.map_from_entries(image), F.create_map().cast("map<string,string>")).alias("columns"))
 
 
 def of_table(changes: DataFrame, table: str) -> DataFrame:

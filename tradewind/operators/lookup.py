@@ -17,10 +17,10 @@ SALTS = 32
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of a plan; None where it cannot be read."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # a remote session has no JVM handle
+    plan = getattr(df, "_jdf", None)  # a remote session has no JVM handle
+    if plan is None:
         return None
+    return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, sized_by: list[DataFrame] | None = None,

@@ -129,7 +129,7 @@ def comments(messages: DataFrame, d: Dimensions, *, value: str = "value",
     kept = keep or []
     rows = messages.select(*kept, text.parse_comment(F.col(value)).alias("c")).select(
         *kept, "c.userId", "c.userName", "c.orderGoodsId", "c.starScore", "c.comments",
-        "c.assetsViedoJSON", times.millis_text(F.col("c.timestamp")).alias("createTime"),
+        text.attachment("c"), times.millis_text(F.col("c.timestamp")).alias("createTime"),
         "c.goodsId", F.col("c.goodsId").try_cast("bigint").alias("_g"))
     named = d.goods.select(F.col("goodsId").alias("_gk"), "goodsName",
                            F.col("shopId").cast("bigint").alias("shopId"))

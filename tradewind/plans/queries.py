@@ -576,7 +576,9 @@ def x11_cart_messages(spark, root):
 @query
 def x11_comment_messages(spark, root):
     return tables.comment_messages(spark, root).select(
-        "event_id", text.parse_comment(F.col("value")).alias("c")).select("event_id", "c.*")
+        "event_id", text.parse_comment(F.col("value")).alias("c")).select(
+        "event_id", "c.userId", "c.userName", "c.orderGoodsId", "c.starScore", "c.comments",
+        text.attachment("c"), "c.goodsId", "c.timestamp")
 
 
 for _table in schemas.DIMENSIONS:
@@ -590,9 +592,10 @@ def x12_order_json(spark, root):
     """Order records as JSON, and fields taken back out; null fields are left out."""
     rows = changefeed.orders(tables.order_changes(spark, root))
     made = rows.select("orderId", text.entity_json(rows).alias("j"))
-    get = lambda n: F.get_json_object("j", f"$.{n}").alias(n)
-    return made.select("orderId", get("orderNo"), get("orderStatus"), get("orderScore"), get("createTime"),
-                       F.size(F.json_object_keys("j")).alias("fields"))
+    read = made.select("orderId", F.from_json("j", "map<string,string>").alias("m"))
+    return read.select("orderId", *[F.col("m")[n].alias(n) for n in
+                                    ("orderNo", "orderStatus", "orderScore", "createTime")],
+                       F.size("m").alias("fields"))
 
 
 @query

@@ -11,6 +11,9 @@ from pyspark.sql import SparkSession
 # depend on the executor's zone, so the session zone is pinned.
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
+    # Wide records compile to methods the JVM never optimises (above 8000 bytes of bytecode
+    # it interprets them, several times slower); with this limit Spark splits them instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

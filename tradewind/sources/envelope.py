@@ -1,102 +1,238 @@
 """Wire form of the change envelope, for clusters without Spark's protobuf package.
 
-Seven fields, two wire kinds: a base-128 integer, or a length and that many bytes.
+A message is a row of tagged fields: a base-128 integer, or a length and that many bytes.
+Reading works on a whole Arrow batch at once: every step takes the next field of all messages,
+so the number of Python steps follows the longest message, not the number of messages. Writing
+lays out all pieces of all messages of a batch and joins them in one step.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-
-_NAMES = {1: "executeTime", 2: "schemaName", 3: "tableName", 4: "eventType",
-          14: "logfileOffset", 15: "logfileName"}
-_NUMBERS = {1, 14}
-
-
-def _integer(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 127) << shift
-        if byte < 128:
-            return value, at
-        shift += 7
-        if shift > 63:
-            raise ValueError("integer too long")
-
-
-def _fields(data: bytes):
-    at = 0
-    while at < len(data):
-        tag, at = _integer(data, at)
-        size, at = _integer(data, at)
-        if tag & 7 == 0:
-            yield tag >> 3, size
-        elif tag & 7 == 2:
-            if at + size > len(data):
-                raise ValueError("truncated")
-            yield tag >> 3, data[at:at + size]
-            at += size
-        else:
-            raise ValueError("unexpected wire kind")
-
-
-def _read(data: bytes | None) -> dict:
-    # Absent fields of a message mean zero and the empty text.
-    row = {n: (0 if k in _NUMBERS else "") for k, n in _NAMES.items()}
-    columns = {}
-    for number, value in _fields(data):
-        if number == 5:
-            pair = dict(_fields(value))
-            columns[pair.get(1, b"").decode()] = pair.get(2, b"").decode()
-        elif number in _NUMBERS:
-            row[_NAMES[number]] = value
-        elif number in _NAMES:
-            row[_NAMES[number]] = value.decode()
-    row["columns"] = columns
-    return row
-
-
-def read_batch(values: pd.Series) -> pd.DataFrame:
-    names = ["logfileName", "logfileOffset", "executeTime", "schemaName", "tableName",
-             "eventType", "columns"]
-    rows = []
-    for value in values:
-        try:
-            rows.append(_read(value))
-        except (ValueError, IndexError, TypeError, AttributeError):
-            rows.append(dict.fromkeys(names))
-    out = pd.DataFrame(rows, columns=names)
-    for n in ("logfileOffset", "executeTime"):
-        out[n] = out[n].astype("Int64")
-    return out
-
-
-def _varint(n: int) -> bytes:
-    out = bytearray()
-    while n > 127:
-        out.append(n & 127 | 128)
-        n >>= 7
-    out.append(n)
-    return bytes(out)
-
-
-def _text(number: int, value: str | None) -> bytes:
-    raw = (value or "").encode()
-    return _varint(number << 3 | 2) + _varint(len(raw)) + raw if raw else b""
-
-
-def write_batch(rows: pd.DataFrame) -> pd.Series:
-    def one(row) -> bytes:
-        out = bytearray()
-        if row.executeTime:
-            out += b"\x08" + _varint(int(row.executeTime))
-        out += _text(2, row.schemaName) + _text(3, row.tableName) + _text(4, row.eventType)
-        for entry in row.columns if row.columns is not None else ():
-            pair = _text(1, entry["key"]) + _text(2, entry["value"])
-            out += b"\x2a" + _varint(len(pair)) + pair
-        if row.logfileOffset:
-            out += b"\x70" + _varint(int(row.logfileOffset))
-        return bytes(out + _text(15, row.logfileName))
-
-    return pd.Series([one(r) for r in rows.itertuples(index=False)])
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+# Field numbers of the envelope, and of one entry of its column map. Fixed values.
+INTEGERS = {"executeTime": 1, "logfileOffset": 14}
+TEXTS = {"schemaName": 2, "tableName": 3, "eventType": 4, "logfileName": 15}
+COLUMNS, ENTRY_KEY, ENTRY_VALUE = 5, 1, 2
+_FIXED = {1: 8, 5: 4}
+
+# Travels with the job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+# ---- reading ----------------------------------------------------------------------------
+
+class _Cursor:
+    """A read position in each of many byte ranges of one buffer."""
+
+    def __init__(self, data: np.ndarray, start: np.ndarray, end: np.ndarray):
+        self.data, self.at, self.end = data, start.astype(np.int64), end.astype(np.int64)
+        self.bad = np.zeros(len(start), bool)
+
+    def integers(self, rows: np.ndarray) -> np.ndarray:
+        """Next base-128 integer of the given rows; rows without one turn bad."""
+        value = np.zeros(len(rows), np.uint64)
+        open_ = np.arange(len(rows))
+        for shift in range(0, 64, 7):
+            inside = self.at[rows[open_]] < self.end[rows[open_]]
+            self.bad[rows[open_[~inside]]] = True
+            open_ = open_[inside]
+            byte = self.data[self.at[rows[open_]]]
+            self.at[rows[open_]] += 1
+            value[open_] |= (byte & 127).astype(np.uint64) << np.uint64(shift)
+            open_ = open_[byte > 127]
+            if not len(open_):
+                return value
+        self.bad[rows[open_]] = True
+        return value
+
+    def fields(self):
+        """Yield (rows, field number, integer or length, start) until all ranges are read;
+        start is -1 for integers."""
+        while True:
+            rows = np.flatnonzero(~self.bad & (self.at < self.end))
+            if not len(rows):
+                return
+            tag = self.integers(rows)
+            wire = (tag & np.uint64(7)).astype(np.int64)
+            for kind, size in _FIXED.items():  # unknown fields of fixed size
+                self.at[rows[wire == kind]] += size
+            self.bad[rows[~np.isin(wire, (0, 1, 2, 5))]] = True
+            known = np.isin(wire, (0, 2)) & ~self.bad[rows]
+            rows, wire, number = rows[known], wire[known], (tag[known] >> np.uint64(3)).astype(np.int64)
+            value = self.integers(rows).astype(np.int64)
+            start = np.where(wire == 2, self.at[rows], -1)
+            over = (wire == 2) & ((value < 0) | (value > self.end[rows] - self.at[rows]))
+            self.bad[rows[over]] = True
+            good = ~self.bad[rows]
+            rows, number, value, start = rows[good], number[good], value[good], start[good]
+            self.at[rows] += np.where(start >= 0, value, 0)
+            yield rows, number, value, start
+
+
+def _texts(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The given byte ranges as one text array."""
+    offsets = np.zeros(len(start) + 1, np.int32)
+    np.cumsum(size, out=offsets[1:])
+    index = np.repeat(start - offsets[:-1], size) + np.arange(offsets[-1])
+    return pa.Array.from_buffers(pa.string(), len(start), [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[index]))])
+
+
+def _pick(number, start, wanted):
+    return (number == wanted) & (start >= 0)
+
+
+def read_batch(values: pa.Array) -> pa.Array:
+    """Envelope bytes to a struct of the envelope's fields, all null where the bytes are bad."""
+    values = values.cast(pa.large_binary())
+    n = len(values)
+    offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + n + 1]
+    body = values.buffers()[2]
+    data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+    cursor = _Cursor(data, offsets[:-1], offsets[1:])
+    cursor.bad |= np.asarray(values.is_null())
+    numbers = {k: np.zeros(n, np.int64) for k in INTEGERS.values()}
+    spans = {k: (np.zeros(n, np.int64), np.zeros(n, np.int64)) for k in TEXTS.values()}
+    entries = [(np.zeros(0, np.int64),) * 3]
+    for rows, number, value, start in cursor.fields():
+        for k, out in numbers.items():
+            hit = (number == k) & (start < 0)
+            out[rows[hit]] = value[hit]
+        for k, (at, size) in spans.items():
+            hit = _pick(number, start, k)
+            at[rows[hit]], size[rows[hit]] = start[hit], value[hit]
+        hit = _pick(number, start, COLUMNS)
+        entries.append((rows[hit], start[hit], value[hit]))
+
+    owner, at, size = (np.concatenate(x) for x in zip(*entries))
+    order = np.argsort(owner, kind="stable")
+    owner, at, size = owner[order], at[order], size[order]
+    inner = _Cursor(data, at, at + size)
+    pair = {k: (np.zeros(len(owner), np.int64), np.zeros(len(owner), np.int64))
+            for k in (ENTRY_KEY, ENTRY_VALUE)}
+    for rows, number, value, start in inner.fields():
+        for k, (p, s) in pair.items():
+            hit = _pick(number, start, k)
+            p[rows[hit]], s[rows[hit]] = start[hit], value[hit]
+    cursor.bad[owner[inner.bad]] = True
+
+    def gather() -> pa.Array:
+        bad = cursor.bad
+        good = ~bad[owner]
+        bounds = np.zeros(n + 1, np.int32)
+        np.cumsum(np.bincount(owner[good], minlength=n), out=bounds[1:])
+        keys, items = (_texts(data, p[good], s[good]) for p, s in pair.values())
+        columns = pa.MapArray.from_arrays(
+            pa.array(bounds, mask=np.append(bad, False)), keys, items)
+        made = {name: pa.array(numbers[k], mask=bad) for name, k in INTEGERS.items()}
+        texts = {name: _texts(data, *(np.where(bad, 0, x) for x in spans[k])) for name, k in TEXTS.items()}
+        for text in (keys, items, *texts.values()):
+            text.validate(full=True)
+        missing = pa.array(bad)
+        made |= {name: pc.if_else(missing, pa.scalar(None, pa.string()), t) for name, t in texts.items()}
+        names = ["logfileName", "logfileOffset", "executeTime", "schemaName", "tableName", "eventType"]
+        return pa.StructArray.from_arrays([*[made[x] for x in names], columns], [*names, "columns"])
+
+    try:
+        return gather()
+    except pa.ArrowInvalid:
+        # Some text is not UTF-8: a message with such text is bad, the others are not.
+        def broken(p, s):
+            try:
+                data[p:p + s].tobytes().decode()
+            except UnicodeDecodeError:
+                return True
+            return False
+
+        for p, s in spans.values():
+            cursor.bad |= [broken(a, b) for a, b in zip(p, s)]
+        for p, s in pair.values():
+            cursor.bad[owner[[broken(a, b) for a, b in zip(p, s)]]] = True
+        return gather()
+
+
+# ---- writing ----------------------------------------------------------------------------
+
+class _Pieces:
+    """Byte ranges, each with the message it belongs to and its place there, joined at the end."""
+
+    def __init__(self):
+        self.pool, self.filled, self.parts = [], 0, []
+
+    def add(self, row, place, data, start, size):
+        self.parts.append((row, np.broadcast_to(place, len(row)), start + self.filled, size))
+        self.pool.append(data)
+        self.filled += len(data)
+
+    def head(self, row, place, tag: int, value) -> np.ndarray:
+        """A tag byte and a base-128 integer; returns how many bytes each takes."""
+        value = value.astype(np.uint64)
+        digits = np.stack([(value >> np.uint64(7 * i)) for i in range(10)], axis=1)
+        used = np.maximum((digits > 0).sum(axis=1), 1)
+        more = np.arange(10) < (used - 1)[:, None]
+        block = np.empty((len(value), 11), np.uint8)
+        block[:, 0] = tag
+        block[:, 1:] = (digits & np.uint64(127)).astype(np.uint8) | np.where(more, 128, 0).astype(np.uint8)
+        self.add(row, place, block.ravel(), np.arange(len(value)) * 11, used + 1)
+        return used + 1
+
+    def text(self, row, place, number: int, texts: pa.Array) -> np.ndarray:
+        """A text field of each row that has one; returns how many bytes each row takes."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+        size = np.diff(offsets)
+        there = np.flatnonzero(size)
+        taken = size.copy()
+        place = np.broadcast_to(place, len(row))
+        taken[there] += self.head(row[there], place[there], number << 3 | 2, size[there])
+        body = texts.buffers()[2]
+        data = np.frombuffer(body, np.uint8) if body is not None else np.zeros(0, np.uint8)
+        self.add(row[there], place[there] + 1, data, offsets[:-1][there], size[there])
+        return taken
+
+    def joined(self, rows: int) -> pa.Array:
+        row, place, start, size = (np.concatenate(x) for x in zip(*self.parts))
+        order = np.lexsort((place, row))
+        row, start, size = row[order], start[order], size[order]
+        at = np.cumsum(size) - size
+        index = np.repeat(start - at, size) + np.arange(size.sum())
+        offsets = np.zeros(rows + 1, np.int32)
+        offsets[1:] = np.cumsum(np.bincount(row, weights=size, minlength=rows))
+        body = np.concatenate(self.pool)[index]
+        return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+
+
+def write_batch(executeTime: pa.Array, logfileOffset: pa.Array, schemaName: pa.Array,
+                tableName: pa.Array, eventType: pa.Array, logfileName: pa.Array,
+                keys: pa.Array, values: pa.Array) -> pa.Array:
+    """Envelope fields to message bytes. Zero and empty fields are left out, as the format has it."""
+    n = len(executeTime)
+    row, made = np.arange(n), _Pieces()
+    for place, (name, column) in enumerate((("executeTime", executeTime), ("logfileOffset", logfileOffset))):
+        number = np.asarray(column.fill_null(0))
+        there = np.flatnonzero(number)
+        made.head(row[there], 2 * place, INTEGERS[name] << 3, number[there])
+    for place, (name, column) in enumerate((("schemaName", schemaName), ("tableName", tableName),
+                                            ("eventType", eventType), ("logfileName", logfileName))):
+        made.text(row, 10 + 2 * place, TEXTS[name], column)
+    owner = np.asarray(pc.list_parent_indices(keys))
+    place = 100 + 5 * np.arange(len(owner))
+    size = (made.text(owner, place + 1, ENTRY_KEY, keys.flatten())
+            + made.text(owner, place + 3, ENTRY_VALUE, values.flatten()))
+    made.head(owner, place, COLUMNS << 3 | 2, size)
+    return made.joined(n)
+
+
+def write() -> Column:
+    """Envelope columns as message bytes."""
+    udf = F.arrow_udf(write_batch, "binary").asNondeterministic()
+    return udf("executeTime", "logfileOffset", "schemaName", "tableName", "eventType", "logfileName",
+               F.map_keys("columns"), F.map_values("columns"))

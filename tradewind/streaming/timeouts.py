@@ -1,94 +1,108 @@
 """First event, then a second within a time: matches and time-outs from a live stream.
 
-Batch form: `patterns.followed_by_or_timeout`. The stream form holds, per key and slice of time,
-the events the watermark has not passed yet. Slices bound the state of a busy key and spread it
-over tasks, as in the batch form.
+Batch form: `patterns.followed_by_or_timeout`. The stream form holds the events the watermark
+has not passed yet. A call into Python has a fixed cost, so state is kept per bucket of keys
+rather than per key, and each call works on all keys of its bucket at once; slices of time
+bound the state of a busy key and spread it over tasks, as in the batch form.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tradewind.operators import patterns
 
-# Time and tie-break of open first events, and of second events that may still close one.
-_STATE = (
-    "first_us array<bigint>, first_tie array<bigint>, second_us array<bigint>, second_tie array<bigint>")
+# Travels with the job: executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _settle(firsts: list, seconds: list, reach: int, passed: int):
-    """Split open firsts into decided rows and those to keep, given all events up to `passed`."""
-    firsts, seconds = sorted(firsts), sorted(seconds)
-    done, open_, wake, at = [], [], None, 0
-    for first in firsts:
-        while at < len(seconds) and seconds[at] <= first:
-            at += 1
-        deadline = first[0] + reach
-        paid = seconds[at][0] if at < len(seconds) and seconds[at][0] < deadline else None
-        due = deadline if paid is None else paid
-        if due <= passed:
-            done.append((*first, paid))
-        else:
-            open_.append(first)
-            wake = due if wake is None else min(wake, due)
-    # A second event can still close a first that is open now or arrives later.
-    floor = min([f[0] for f in open_] + [passed])
-    return done, open_, [s for s in seconds if s[0] >= floor], wake
+def _settle(events: pd.DataFrame, reach: int, passed: int):
+    """Split pending events, given that all events up to `passed` are known.
+
+    Returns (decided first events with `paid`, -1 for a time-out; events to keep; next instant at
+    which something can be decided, or None).
+    """
+    codes = pd.factorize(events["key"])[0]
+    us, tie, first = (events[c].to_numpy() for c in ("us", "tie", "first"))
+    # In key and time order. Of two entries made from one event the second kind sorts ahead, so
+    # that an event never closes itself.
+    order = np.lexsort((first, tie, us, codes))
+    events, codes, us, first = events.iloc[order], codes[order], us[order], first[order]
+    n = len(us)
+    ahead = np.minimum.accumulate(np.where(first, n, np.arange(n))[::-1])[::-1]
+    near = np.minimum(ahead, n - 1)
+    met = (ahead < n) & (codes[near] == codes) & (us[near] - us < reach)
+    due = np.where(met, us[near], us + reach)
+    done = first & (due <= passed)
+    waiting = first & ~done
+    floor = min(us[waiting].min(), passed) if waiting.any() else passed
+    kept = waiting | (~first & (us >= floor))
+    wake = int(due[waiting].min()) if waiting.any() else None
+    return (events[done].assign(paid=np.where(met, us[near], -1)[done]), events[kept], wake)
 
 
 def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Column,
                            second: Column, within: float, *, delay: str = "0 seconds",
-                           slice_seconds: float | None = None) -> DataFrame:
+                           slice_seconds: float | None = None, buckets: int | None = None) -> DataFrame:
     """Rows (key, ts, tie, outcome, paid_ts), each emitted once the watermark settles it.
 
-    `tie` must be a whole number. Times are kept to the microsecond.
+    `tie` must be a whole number; times are kept to the microsecond. `buckets` (by default four
+    per shuffle partition) must stay the same for the life of a checkpoint.
     """
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = int(round(within * 1_000_000))
     timed = df.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
-    # Every event moves the watermark; only the two kinds that matter are kept as state.
-    cut = patterns.sliced(
-        timed.select(key, "_at", F.col(tie).cast("bigint").alias("_tie"),
-                     F.coalesce(first, F.lit(False)).alias("_first"),
-                     F.coalesce(second, F.lit(False)).alias("_second")),
-        "_at", within, slice_seconds)
-    out = f"`{key}` {df.schema[key].dataType.simpleString()}, _us bigint, _tie bigint, _paid_us bigint"
+    flagged = timed.select(key, "_at", F.col(tie).cast("bigint").alias("_tie"),
+                           F.coalesce(first, F.lit(False)).alias("_first"),
+                           F.coalesce(second, F.lit(False)).alias("_second"))
+    # Every event must move the watermark, but only two kinds need to be shuffled. Naming the
+    # event time in the condition keeps the filter above the watermark in the plan.
+    needed = flagged.filter(F.col("_first") | F.col("_second") | F.col("_at").isNull())
+    cut = patterns.sliced(needed, "_at", within, slice_seconds).withColumn(
+        "_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    kind = df.schema[key].dataType.simpleString()
+    out = f"`{key}` {kind}, _us bigint, _tie bigint, _paid bigint"
+    held = f"key array<{kind}>, us array<bigint>, tie array<bigint>, first array<boolean>"
 
     def run(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        firsts, seconds = [], []
+        parts = []
         if state.exists:
-            a, b, c, d = state.get
-            firsts, seconds = list(zip(a, b)), list(zip(c, d))
+            parts.append(pd.DataFrame(dict(zip(("key", "us", "tie", "first"), map(list, state.get)))))
         for part in rows:
             if part.empty:  # a time-out call brings no events
                 continue
-            mine = part[part["_first"] & part["_home"]]
-            firsts += list(zip(mine["_us"].tolist(), mine["_tie"].tolist()))
-            pays = part[part["_second"]]
-            seconds += list(zip(pays["_us"].tolist(), pays["_tie"].tolist()))
+            named = part.rename(columns={key: "key", "_us": "us", "_tie": "tie"})
+            for flag, chosen in ((True, part["_first"] & part["_home"]), (False, part["_second"])):
+                parts.append(named.loc[chosen, ["key", "us", "tie"]].assign(first=flag))
         passed = state.getCurrentWatermarkMs() * 1000
-        done, firsts, seconds, wake = _settle(firsts, seconds, reach, passed)
-        if firsts or seconds:
-            state.update(([f[0] for f in firsts], [f[1] for f in firsts],
-                          [s[0] for s in seconds], [s[1] for s in seconds]))
-            if wake is None:
-                wake = max(s[0] for s in seconds)
+        events = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
+        if events.empty:
+            if state.exists:
+                state.remove()
+            return
+        done, kept, wake = _settle(events, reach, passed)
+        if len(kept):
+            state.update(tuple(kept[c].tolist() for c in ("key", "us", "tie", "first")))
+            wake = int(kept["us"].max()) if wake is None else wake
             state.setTimeoutTimestamp(max(-(-wake // 1000), passed // 1000 + 1))
         elif state.exists:
             state.remove()
-        if done:
-            yield pd.DataFrame({
-                key: [group[0]] * len(done), "_us": [d[0] for d in done],
-                "_tie": [d[1] for d in done],
-                "_paid_us": pd.array([d[2] for d in done], dtype="Int64")})
+        if len(done):
+            yield pd.DataFrame({key: done["key"], "_us": done["us"], "_tie": done["tie"],
+                                "_paid": done["paid"]})
 
-    settled = cut.groupBy(key, "_slice").applyInPandasWithState(
-        run, out, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    settled = cut.groupBy("_bucket", "_slice").applyInPandasWithState(
+        run, out, held, "append", GroupStateTimeout.EventTimeTimeout)
+    paid = F.col("_paid") >= 0
     return settled.select(
         key, F.timestamp_micros("_us").alias(ts), F.col("_tie").alias(tie),
-        F.when(F.col("_paid_us").isNull(), "timeout").otherwise("paid").alias("outcome"),
-        F.timestamp_micros("_paid_us").alias("paid_ts"))
+        F.when(paid, "paid").otherwise("timeout").alias("outcome"),
+        F.when(paid, F.timestamp_micros("_paid")).alias("paid_ts"))
