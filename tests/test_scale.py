@@ -82,7 +82,7 @@ def brute(events, firsts, seconds, within, strict):
     return sorted(out)
 
 
-@pytest.mark.parametrize("slice_seconds", [None, 7, 1000000])
+@pytest.mark.parametrize("slice_seconds", [0.5, 7, 3600, 1000000])
 @pytest.mark.parametrize("strict", [True, False])
 def test_patterns_against_brute_force(spark, slice_seconds, strict):
     rnd = random.Random(11)
@@ -100,6 +100,43 @@ def test_patterns_against_brute_force(spark, slice_seconds, strict):
     assert sorted(found, key=key) == sorted(brute(events, "a", "b", 7, strict), key=key)
 
 
+@pytest.mark.parametrize("slice_seconds", [2, 50, 1000000])
+def test_longer_patterns_do_not_depend_on_slices(spark, slice_seconds):
+    rnd = random.Random(3)
+    events = [(rnd.choice([0, 0, 0, 1]), rnd.randrange(300), i, rnd.choice("abc")) for i in range(400)]
+    df = spark.createDataFrame(events, "k int, s bigint, n int, t string").withColumn(
+        "ts", F.timestamp_seconds("s"))
+    is_ = lambda x: F.col("t") == x
+    got = patterns.sequence_match(
+        df, "k", "ts", "n", [patterns.Step(is_("a")), patterns.Step(is_("b")), patterns.Step(is_("c"), patterns.NEXT)],
+        20, keep=["n"], slice_seconds=slice_seconds)
+    want, runs = [], {True: [], False: []}
+    for key in (0, 1):
+        seq = sorted((e for e in events if e[0] == key), key=lambda e: (e[1], e[2]))
+        for i, e in enumerate(seq):
+            j = next((j for j in range(i + 1, len(seq)) if seq[j][3] == "b"), None)
+            if e[3] == "a" and j is not None and j + 1 < len(seq) and seq[j + 1][3] == "c" and seq[j + 1][1] - e[1] < 20:
+                want.append((e[2], seq[j][2], seq[j + 1][2]))
+            four = seq[i:i + 4]
+            if len(four) == 4 and four[-1][1] - e[1] < 20:
+                runs[False].append((e[2], four[-1][1]))
+                if len({x[3] for x in four}) == 1:
+                    runs[True].append((e[2], four[-1][1]))
+    assert sorted((r["s0"]["n"], r["s1"]["n"], r["s2"]["n"]) for r in got.collect()) == sorted(want)
+    for same, expected in runs.items():
+        rep = patterns.repeat_match(df, "k", "ts", "n", F.lit(True), 4, 20, same="t" if same else None,
+                                    keep=["n"], slice_seconds=slice_seconds)
+        found = rep.select("n", F.unix_seconds("last_ts")).collect()
+        assert sorted(map(tuple, found)) == sorted(expected)
+
+
+def test_pattern_moves_rows_once(spark, root):
+    plan = plan_of(QUERIES["c3_paid_or_timeout"](spark, root)).split("== Physical Plan ==")[1]
+    # One exchange of rows; the other two carry the summary, reduced before it is moved.
+    assert plan.count("Exchange hashpartitioning") == 3
+    assert "partial_min_by" in plan
+
+
 def test_refunds_and_updates_without_broadcast(spark, monkeypatch):
     lines = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 10), (4, 9)], "orderId bigint, goodsId bigint")
     orders = spark.createDataFrame([(1, 10), (2, 3), (3, 11), (4, 11)], "orderId bigint, orderStatus int")

@@ -1,12 +1,13 @@
 """Event sequences per key, within a length of time.
 
-`within` bounds every match, and that bound is what lets a busy key be split: events are cut
-into slices of time, and each slice also sees the first `within` of the next one. A match
-belongs to the slice of its first event and is complete there, so results are the same as with
-one group per key, while a key with a third of all events is spread over many tasks.
+A busy key is split into slices of time, so that a key with a third of all events is spread over
+many tasks. Within a slice, matches come from one window. What a slice needs to know about later
+ones is a single event per pattern step, the first that fits, and that is found in a summary of
+one row per key and slice. Slice length has no influence on the result.
 
 Rules: order is (time, tie-break); a match must take strictly less than `within`; matches may
-overlap; "next" means the very next event of the key, "later" the first suitable one.
+overlap; "next" means the very next event of the key, "later" the first suitable one. Events
+without a key or a time match nothing.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from tradewind.functions import times
 
 NEXT, LATER = "next", "later"
+SLICE_SECONDS = 3600.0
 
 
 @dataclass(frozen=True)
@@ -29,57 +31,70 @@ class Step:
     follows: str = LATER
 
 
-def sliced(df: DataFrame, ts: str, within: float, slice_seconds: float | None = None) -> DataFrame:
-    """Add `_us`, `_slice` and `_home`; events near a slice's start are seen by the one before.
+def time_slice(us: str, seconds: float) -> Column:
+    """Number of the slice an instant in epoch microseconds falls in; exact before 1970 too."""
+    length = int(seconds * 1_000_000)
+    return F.expr(f"({us} - pmod({us}, {length})) div {length}")
 
-    `_home` marks the copy in the event's own slice. Events without a time match nothing.
+
+def _in_slices(df: DataFrame, key: str, ts: str, slice_seconds: float) -> DataFrame:
+    timed = df.withColumn("_us", times.micros(F.col(ts))).filter(
+        F.col("_us").isNotNull() & F.col(key).isNotNull())
+    return timed.withColumn("_slice", time_slice("_us", slice_seconds))
+
+
+def _with_following(rows: DataFrame, key: str, tie: str, target: str, name: str, follows: str,
+                    only: Column) -> DataFrame:
+    """Add `name`: `target` of the next row of the key, or of the next row where it is not null.
+
+    The window is the one shuffle of all rows: the summary combines on the map side to one row per
+    key and slice, and the join finds the rows placed by key and slice. The window runs backwards
+    in time, so "the first suitable event after this one" is a running value. Only rows with
+    `only` are returned.
     """
-    length = int((slice_seconds or 8 * within) * 1_000_000)
-    reach = int(round(within * 1_000_000))
-    length = max(length, reach)
-    timed = df.withColumn("_us", times.micros(F.col(ts))).filter(F.col("_us").isNotNull())
-    # Integer division of epoch microseconds: exact, also before 1970.
-    own = F.expr(f"(_us - pmod(_us, {length})) div {length}")
-    ahead = F.expr(f"pmod(_us, {length}) < {reach}")
-    copies = timed.withColumn("_own", own).withColumn(
-        "_slice", F.explode(F.when(ahead, F.array(F.col("_own"), F.col("_own") - 1))
-                            .otherwise(F.array(F.col("_own")))))
-    return copies.withColumn("_home", F.col("_slice") == F.col("_own")).drop("_own")
+    order = F.struct("_us", tie)
+    boxed = F.struct(F.col(target).alias("t"))
+    if follows == LATER:
+        boxed = F.when(F.col(target).isNotNull(), boxed)
+        order = F.when(F.col(target).isNotNull(), order)
+    back = Window.partitionBy(key, "_slice").orderBy(F.desc("_us"), F.desc(tie))
+    inside = F.last(boxed, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1)) \
+        if follows == LATER else F.lag(boxed, 1).over(back)
+    firsts = rows.groupBy(key, "_slice").agg(F.min_by(boxed, order).alias("_first"))
+    later = Window.partitionBy(key).orderBy(F.desc("_slice")).rowsBetween(Window.unboundedPreceding, -1)
+    carried = firsts.select(key, "_slice", F.last("_first", ignorenulls=True).over(later).alias("_beyond"))
+    found = rows.withColumn("_inside", inside).filter(only)
+    return (found.join(carried, [key, "_slice"], "left")
+            .withColumn(name, F.coalesce("_inside", "_beyond")["t"]).drop("_inside", "_beyond"))
 
 
 def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step], within: float, *,
-                   keep: list[str], slice_seconds: float | None = None,
+                   keep: list[str], slice_seconds: float = SLICE_SECONDS,
                    timeouts: bool = False) -> DataFrame:
     """Matches of a sequence of steps: the key and one struct `s0`, `s1`, ... per step.
 
     With `timeouts`, first events without a match are kept too: `matched` tells them apart, and
     their later steps are null.
-
-    One shuffle and one sort. The window runs backwards in time, so "the first suitable event
-    after this one" is a running value rather than a scan of the rest of the key.
     """
     flags = [f"_w{i}" for i in range(len(steps))]
     fields = list(dict.fromkeys([*keep, ts]))
-    cut = sliced(df.select(*dict.fromkeys([key, ts, tie, *keep]),
-                           *[F.coalesce(s.where, F.lit(False)).alias(f) for s, f in zip(steps, flags)]),
-                 ts, within, slice_seconds)
-    back = Window.partitionBy(key, "_slice").orderBy(F.desc("_us"), F.desc(tie))
-    running = back.rowsBetween(Window.unboundedPreceding, -1)
+    rows = _in_slices(
+        df.select(*dict.fromkeys([key, ts, tie, *keep]),
+                  *[F.coalesce(s.where, F.lit(False)).alias(f) for s, f in zip(steps, flags)]),
+        key, ts, slice_seconds)
     event = F.struct(*fields, "_us")
     # _t{i}: what the rest of the pattern looks like when this event is taken as step i.
     last = len(steps) - 1
-    out = cut.withColumn(f"_t{last}", F.when(F.col(flags[last]), F.struct(event.alias("e"))))
+    out = rows.withColumn(f"_t{last}", F.when(F.col(flags[last]), F.struct(event.alias("e"))))
     for i in range(last - 1, -1, -1):
-        after = F.col(f"_t{i + 1}")
-        rest = (F.lag(after, 1).over(back) if steps[i + 1].follows == NEXT
-                else F.last(after, ignorenulls=True).over(running))
-        out = out.withColumn(f"_t{i}", F.when(F.col(flags[i]),
-                                              F.struct(event.alias("e"), rest.alias("n"))))
-    firsts = out.filter(F.col("_home") & F.col(flags[0]))
+        out = _with_following(out, key, tie, f"_t{i + 1}", "_rest", steps[i + 1].follows,
+                              F.col(flags[0]) if i == 0 else F.lit(True))
+        out = out.withColumn(f"_t{i}", F.when(F.col(flags[i]), F.struct(
+            event.alias("e"), F.col("_rest").alias("n")))).drop("_rest", f"_t{i + 1}")
     path = lambda i: "_t0" + ".n" * i + ".e"
     whole = F.coalesce(F.col(path(last) + "._us") - F.col("_us") < int(round(within * 1_000_000)),
                        F.lit(False))
-    marked = firsts.withColumn("matched", whole)
+    marked = out.filter(flags[0]).withColumn("matched", whole)
     if not timeouts:
         marked = marked.filter("matched")
     step = lambda i: F.struct(*[F.col(f"{path(i)}.{c}").alias(c) for c in fields])
@@ -91,26 +106,35 @@ def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step]
 
 def repeat_match(df: DataFrame, key: str, ts: str, tie: str, where: Column, times_n: int,
                  within: float, *, same: str | None = None, keep: list[str] | None = None,
-                 slice_seconds: float | None = None) -> DataFrame:
+                 slice_seconds: float = SLICE_SECONDS) -> DataFrame:
     """`times_n` suitable events in a row (others in between do not matter) within a time.
 
     Returns the first event's `keep` columns and the last event's time. With `same`, all events
     of the match must carry one and the same value in that column.
     """
-    keep = keep or [ts]
-    rows = df.filter(where).select(*dict.fromkeys([key, ts, tie, *keep, *([same] if same else [])]))
-    cut = sliced(rows, ts, within, slice_seconds)
+    keep, ahead = keep or [ts], times_n - 1
+    rows = _in_slices(df.filter(where).select(
+        *dict.fromkeys([key, ts, tie, *keep, *([same] if same else [])])), key, ts, slice_seconds)
     order = Window.partitionBy(key, "_slice").orderBy("_us", tie)
-    ahead = times_n - 1
-    out = (cut.withColumn("_end", F.lead("_us", ahead).over(order))
-           .withColumn("last_ts", F.lead(ts, ahead).over(order)))
-    hit = F.col("_home") & (F.col("_end") - F.col("_us") < int(round(within * 1_000_000)))
+    event = F.struct("_us", F.col(tie).alias("_tie"), F.col(ts).alias("_ts"),
+                     *([F.col(same).alias("_v")] if same else []))
+    # The event itself and up to `ahead` more of its slice.
+    numbered = rows.withColumn("_n", F.row_number().over(order)).withColumn(
+        "_run", F.collect_list(event).over(order.rowsBetween(0, ahead)))
+    firsts = numbered.groupBy(key, "_slice").agg(F.sort_array(F.collect_list(
+        F.when(F.col("_n") <= ahead, event))).alias("_firsts"))
+    # Every slice here has an event, so the `ahead` slices that follow hold enough of them.
+    later = Window.partitionBy(key).orderBy("_slice").rowsBetween(1, max(ahead, 1))
+    carried = firsts.select(key, "_slice", F.slice(F.flatten(
+        F.collect_list("_firsts").over(later)), 1, ahead).alias("_beyond"))
+    full = F.slice(F.concat("_run", F.coalesce("_beyond", F.array().cast(
+        numbered.schema["_run"].dataType))), 1, times_n)
+    found = numbered.join(carried, [key, "_slice"], "left").withColumn("_all", full)
+    end = F.get("_all", F.lit(ahead))
+    hit = end["_us"] - F.col("_us") < int(round(within * 1_000_000))
     if same:
-        frame = order.rowsBetween(0, ahead)
-        # A frame of `times_n` rows: collecting it is bounded.
-        out = out.withColumn("_values", F.size(F.array_distinct(F.collect_list(same).over(frame))))
-        hit = hit & (F.col("_values") == 1)
-    return out.filter(hit).select(*dict.fromkeys([key, *keep]), "last_ts")
+        hit = hit & (F.size(F.array_distinct(F.transform("_all", lambda e: e["_v"]))) == 1)
+    return found.filter(hit).select(*dict.fromkeys([key, *keep]), end["_ts"].alias("last_ts"))
 
 
 # ---- the rules built on it --------------------------------------------------------------

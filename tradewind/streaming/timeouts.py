@@ -3,7 +3,7 @@
 Batch form: `patterns.followed_by_or_timeout`. The stream form holds the events the watermark
 has not passed yet. A call into Python has a fixed cost, so state is kept per bucket of keys
 rather than per key, and each call works on all keys of its bucket at once; slices of time
-bound the state of a busy key and spread it over tasks, as in the batch form.
+bound the state of a busy key and spread it over tasks.
 """
 
 from __future__ import annotations
@@ -49,6 +49,21 @@ def _settle(events: pd.DataFrame, reach: int, passed: int):
     return (events[done].assign(paid=np.where(met, us[near], -1)[done]), events[kept], wake)
 
 
+def _sliced(df: DataFrame, within: float, slice_seconds: float | None) -> DataFrame:
+    """Add `_us`, `_slice` and `_home` to events with a time in `_at`.
+
+    A slice also sees the first `within` of the next one, which is all a match that starts in it
+    can need; `_home` marks the copy in an event's own slice.
+    """
+    seconds = max(slice_seconds or 8 * within, within)
+    timed = df.withColumn("_us", F.unix_micros("_at")).filter(F.col("_us").isNotNull())
+    own = timed.withColumn("_own", patterns.time_slice("_us", seconds))
+    early = F.expr(f"pmod(_us, {int(seconds * 1_000_000)}) < {int(round(within * 1_000_000))}")
+    copies = own.withColumn("_slice", F.explode(
+        F.when(early, F.array(F.col("_own"), F.col("_own") - 1)).otherwise(F.array("_own"))))
+    return copies.withColumn("_home", F.col("_slice") == F.col("_own")).drop("_own")
+
+
 def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Column,
                            second: Column, within: float, *, delay: str = "0 seconds",
                            slice_seconds: float | None = None, buckets: int | None = None) -> DataFrame:
@@ -66,7 +81,7 @@ def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Co
     # Every event must move the watermark, but only two kinds need to be shuffled. Naming the
     # event time in the condition keeps the filter above the watermark in the plan.
     needed = flagged.filter(F.col("_first") | F.col("_second") | F.col("_at").isNull())
-    cut = patterns.sliced(needed, "_at", within, slice_seconds).withColumn(
+    cut = _sliced(needed, within, slice_seconds).withColumn(
         "_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     kind = df.schema[key].dataType.simpleString()
     out = f"`{key}` {kind}, _us bigint, _tie bigint, _paid bigint"
