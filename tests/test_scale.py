@@ -21,7 +21,8 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
-def test_salted_join_equals_broadcast(spark):
+def test_salted_join_equals_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "HOT_ROWS", 500)
     # A third of all rows share one key, and many of them are identical.
     fact = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"),
@@ -29,10 +30,17 @@ def test_salted_join_equals_broadcast(spark):
     dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
     for how in ("left", "inner"):
         small = lookup.lookup_join(fact, dim, "k", how)
-        large = lookup.lookup_join(fact, dim, "k", how, limit=0, salts=4)
+        large = lookup.lookup_join(fact, dim, "k", how, limit=0)
         assert "_salt" in plan_of(large) and "_salt" not in plan_of(small)
         assert small.columns == large.columns == ["k", "v", "w"]
         assert rows(small) == rows(large) == rows(fact.join(dim, "k", how).select("k", "v", "w"))
+    assert [r[0] for r in lookup.hot_keys(fact, ["k"]).collect()] == [
+        spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]]
+    # Keys of another type, and keys that do not fit the fact's type.
+    texts = spark.createDataFrame([("7", "seven"), ("x", "none"), ("8", "eight")], "name string, w string")
+    for limit in (None, 0):
+        got = lookup.lookup_join(fact, texts, [("k", "name")], "inner", limit=limit)
+        assert got.groupBy("w").count().count() == 2 and got.columns == ["k", "v", "name", "w"]
     with pytest.raises(ValueError):
         lookup.lookup_join(fact, dim, "k", "right")
 
@@ -47,6 +55,7 @@ def test_widening_without_broadcast(spark, root, monkeypatch):
     carts, ranges = tables.cart_messages(spark, root), tables.ip_ranges(spark, root)
     small = rows(widen.carts(carts, d, ranges, keep=["event_id"]))
     monkeypatch.setattr(lookup, "BROADCAST_LIMIT", 0)
+    monkeypatch.setattr(lookup, "HOT_ROWS", 1)
     assert rows(widen.carts(carts, d, ranges, keep=["event_id"])) == small
 
 
@@ -142,6 +151,7 @@ def test_refunds_and_updates_without_broadcast(spark, monkeypatch):
     orders = spark.createDataFrame([(1, 10), (2, 3), (3, 11), (4, 11)], "orderId bigint, orderStatus int")
     want = rows(lines.join(orders, "orderId", "right").filter("orderStatus in (10, 11)").select("orderId", "goodsId"))
     news = spark.createDataFrame([(1, None), (2, 5)], "orderId bigint, goods bigint")
+    monkeypatch.setattr(lookup, "HOT_ROWS", 2)
     for limit in (1 << 28, 0):
         monkeypatch.setattr(lookup, "BROADCAST_LIMIT", limit)
         assert rows(backfill.refund_lines(lines, orders)) == want

@@ -118,9 +118,10 @@ def latest(changes: DataFrame, key: list[str], order: list[str], values: list[st
 
     An aggregate, not a ranking window: each task first reduces its own rows to one per key, so
     a key with a third of all changes costs one row per task in the shuffle. `order` must be
-    total for the result to be repeatable. Unknown operations are ignored.
+    total for the result to be repeatable. Unknown operations are ignored, and so are changes
+    without a key: they name no row.
     """
-    known = changes.filter(F.col(event).isin("insert", "update", "delete"))
+    known = changes.filter(F.col(event).isin("insert", "update", "delete")).dropna("any", subset=key)
     state = known.groupBy(*key).agg(
         F.max_by(F.struct(event, *order, *values), F.struct(*order)).alias("_r"))
     out = state.select(*key, *[F.col(f"_r.{c}").alias(c) for c in

@@ -1,7 +1,8 @@
-"""The one join every enrichment uses: a large fact against a keyed lookup table.
+"""The one join every enrichment uses: a fact against a keyed lookup table.
 
-No shuffle while the lookup is provably small, and no single hot task when it is not:
-a fact key that holds a third of all rows is spread over `salts` partitions.
+No shuffle of the fact while the lookup is provably small. Beyond that, a shuffle join in which
+hot keys are salted: a fact key that holds a third of all rows is spread over many tasks, and
+only the lookup rows of such keys are copied.
 """
 
 from __future__ import annotations
@@ -12,7 +13,11 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 256 * 1024 * 1024
 # A row in a broadcast hash table is far larger than the same row in compressed parquet.
 EXPANSION = 32
-SALTS = 32
+SALTS = 64
+# Keys with more rows than one task should take are hot. At most HOT_KEYS are looked for, which
+# bounds the table of hot keys that is broadcast.
+HOT_ROWS = 2_000_000
+HOT_KEYS = 1000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -38,31 +43,53 @@ def fits_broadcast(df: DataFrame, sized_by: list[DataFrame] | None = None,
     return sum(sizes) * EXPANSION <= limit
 
 
+def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
+    """Hashes of the fact's hot keys, at most HOT_KEYS rows in a column `_hot`.
+
+    A sketch of fixed size per task finds them in one pass over the key columns. Its estimates
+    decide only which keys are spread, never what a row is joined to.
+    """
+    sketch = fact.select(F.xxhash64(*keys).alias("_h")).agg(
+        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {10 * HOT_KEYS})").alias("_top"))
+    found = sketch.select(F.inline("_top")).filter(F.col("count") > HOT_ROWS)
+    return found.select(F.col("item").alias("_hot"))
+
+
+def _with_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    hashed = df.withColumn("_h", F.xxhash64(*keys))
+    return hashed.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left").drop("_h")
+
+
 def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left", *,
-                sized_by: list[DataFrame] | None = None, salts: int = SALTS,
-                limit: int | None = None) -> DataFrame:
+                sized_by: list[DataFrame] | None = None, limit: int | None = None) -> DataFrame:
     """Join `fact` to `lookup` on equal keys (left or inner), whatever the lookup's size.
 
     `on` is a column name, a list of names, or a list of (fact column, lookup column) pairs.
-    Of the lookup's keys only those with a name of their own survive.
+    Keys compare in the fact's type. Of the lookup's keys only those with a name of their own
+    survive.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"lookup_join keeps the fact side, so how={how!r} is not supported")
     pairs = [(p, p) if isinstance(p, str) else p for p in ([on] if isinstance(on, str) else on)]
-    marked = lookup.select(
-        *[F.col(r).alias(f"_k{i}") for i, (_, r) in enumerate(pairs)],
-        *[F.col(c) for c in lookup.columns if c not in {r for l, r in pairs if l == r}],
-    )
-    cond = None
-    for i, (left, _) in enumerate(pairs):
-        eq = F.col(left) == F.col(f"_k{i}")
-        cond = eq if cond is None else cond & eq
+    kinds = fact.schema
     keys = [f"_k{i}" for i in range(len(pairs))]
+    same = {r for l, r in pairs if l == r}
+    marked = lookup.select(
+        *[F.col(r).try_cast(kinds[l].dataType).alias(k) for (l, r), k in zip(pairs, keys)],
+        *[F.col(c) for c in lookup.columns if c not in same])
+    cond = F.lit(True)
+    for (left, _), k in zip(pairs, keys):
+        cond = cond & (F.col(left) == F.col(k))
     if fits_broadcast(lookup, sized_by, limit):
         return fact.join(F.broadcast(marked), cond, how).drop(*keys)
+    lefts = [l for l, _ in pairs]
+    hot = hot_keys(fact, lefts)
     # The salt is the map partition, so rows of one key (even identical copies) spread out, a
     # retried task computes the same salt again, and each fact row still meets its match once.
-    salted = fact.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    copies = marked.withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = _with_hot(fact, lefts, hot).withColumn("_salt", F.when(
+        F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)).drop("_hot")
+    copies = _with_hot(marked, keys, hot).withColumn("_lsalt", F.explode(F.when(
+        F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    )).drop("_hot")
     return (salted.join(copies, cond & (F.col("_salt") == F.col("_lsalt")), how)
             .drop(*keys, "_salt", "_lsalt"))
