@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradewind.functions import geo, times
 
@@ -18,8 +19,15 @@ MISSING_CATEGORY = 1050
 AREA_IDS = 28
 
 
+# Schemas seen so far: reading a table again then needs no look into its files.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")
+    path = f"{root.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def stream(spark: SparkSession, root: str, name: str) -> DataFrame:
