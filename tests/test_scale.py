@@ -176,7 +176,7 @@ def test_latest_state_rules(spark):
 
 def test_no_query_pairs_everything_with_everything(spark, root):
     streaming = {"k1_order_json_job", "k4_line_job", "a0_rollup_stream", "a1_visitors_stream",
-                 "t4_paid_or_timeout_stream"}
+                 "t4_paid_or_timeout_stream", "c4_unpaid_orders_job"}
     for name in set(QUERIES) - streaming:
         plan = plan_of(QUERIES[name](spark, root))
         assert not re.search("CartesianProduct|NestedLoop", plan), name

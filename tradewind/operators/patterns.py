@@ -156,12 +156,18 @@ def followed_by_or_timeout(df, key, ts, tie, first: Column, second: Column, with
         F.col(f"s1.{ts}").alias("paid_ts"))
 
 
+def order_created() -> Column:
+    return (F.col("isPay") == 0) & (F.col("orderStatus") == 0)
+
+
+def order_paid() -> Column:
+    return (F.col("isPay") == 1) & (F.col("orderStatus") == 0)
+
+
 def unpaid_orders(orders: DataFrame, *, ts: str, tie: str, within: float = 900.0,
                   keep: list[str] | None = None, **kw) -> DataFrame:
     """Orders created but not paid within fifteen minutes, and those paid in time."""
-    created = (F.col("isPay") == 0) & (F.col("orderStatus") == 0)
-    paid = (F.col("isPay") == 1) & (F.col("orderStatus") == 0)
-    return followed_by_or_timeout(orders, "orderId", ts, tie, created, paid, within,
+    return followed_by_or_timeout(orders, "orderId", ts, tie, order_created(), order_paid(), within,
                                   keep=keep or [ts], **kw)
 
 

@@ -418,6 +418,10 @@ sql("c4_unpaid_orders", f"""SELECT o_orderkey AS orderId, o_custkey AS userId, o
   CASE WHEN ok THEN 'paid' ELSE 'timeout' END AS outcome,
   CASE WHEN ok THEN strftime(o_orderdate + to_minutes(o_orderkey % 30), {DT}) END AS paid_at
   FROM (SELECT *, o_orderstatus <> 'P' AND o_orderkey % 30 < 15 AS ok FROM orders)""")
+sql("c4_unpaid_orders_job", """SELECT o_orderkey AS orderId, o_custkey AS userId, o_totalprice AS totalMoney,
+  CAST(0 AS INTEGER) AS isPay FROM orders WHERE NOT (o_orderstatus <> 'P' AND o_orderkey % 30 < 15)
+  AND o_orderdate + INTERVAL 15 MINUTE <= (SELECT max(CASE WHEN o_orderstatus <> 'P'
+    THEN o_orderdate + to_minutes(o_orderkey % 30) ELSE o_orderdate END) FROM orders)""")
 _HEAT = """readings AS (SELECT user_id % 10 AS rack, ts, event_id, event_type IN ('view', 'click', 'purchase') AS warm, value FROM events),
   nexts AS (SELECT rack, ts, value, warm, lead(ts) OVER w AS nts, lead(event_id) OVER w AS nid, lead(warm) OVER w AS nwarm,
     lead(value) OVER w AS nvalue FROM readings WINDOW w AS (PARTITION BY rack ORDER BY ts, event_id)),

@@ -276,19 +276,19 @@ def log_batches(spark, root) -> DataFrame:
 
 # ---- click stream and messages ----------------------------------------------------------
 
-def payment_changes(spark, root) -> DataFrame:
+def payment_changes(spark, root, rows: DataFrame | None = None) -> DataFrame:
     """Each order created unpaid and, unless it stays open, paid up to half an hour later."""
-    o = load(spark, root, "orders")
+    o = load(spark, root, "orders") if rows is None else rows
     change = lambda paid, shift, n: F.struct(
         F.lit(paid).alias("isPay"), shift.alias("minutes"), F.lit(n).alias("n"))
     steps = F.array(
         change(0, F.lit(0).cast("bigint"), 0),
         F.when(F.col("o_orderstatus") != "P", change(1, F.col("o_orderkey") % 30, 1)))
-    rows = o.withColumn("s", F.explode(F.filter(steps, lambda s: s.isNotNull())))
+    steps_of = o.withColumn("s", F.explode(F.filter(steps, lambda s: s.isNotNull())))
     at = F.timestamp_micros(times.micros(F.col("o_orderdate")) + F.col("s.minutes") * 60000000)
     fields = {"orderId": F.col("o_orderkey"), "userId": F.col("o_custkey"),
               "orderStatus": F.lit(0), "isPay": F.col("s.isPay"), "totalMoney": F.col("o_totalprice")}
-    return _changes(rows, "orders", F.when(F.col("s.n") == 0, "insert").otherwise("update"),
+    return _changes(steps_of, "orders", F.when(F.col("s.n") == 0, "insert").otherwise("update"),
                     at, F.col("o_orderkey") * 2 + F.col("s.n"), fields)
 
 

@@ -10,9 +10,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewind import schemas
 from tradewind.functions import text, times
-from tradewind.operators import changefeed, metrics, widen
+from tradewind.operators import changefeed, metrics, patterns, widen
 from tradewind.operators.dims import Dimensions
-from tradewind.streaming import sinks
+from tradewind.streaming import sinks, timeouts
 
 
 def event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
@@ -84,6 +84,23 @@ def _enriched(stream: DataFrame, widened: Callable[[DataFrame], DataFrame], targ
     return sinks.each_batch(stream, write, checkpoint, once=once)
 
 
+def unpaid_orders_job(changes: DataFrame, target: str, checkpoint: str, *, within: float = 900.0,
+                      delay: str = "0 seconds", slice_seconds: float = 30 * 86400.0,
+                      **kw) -> StreamingQuery:
+    """Orders that were created and not paid in time, as JSON of the order at its creation.
+
+    One order has a handful of changes, so slices of time need not be fine to keep state small.
+    """
+    rows = changefeed.orders(changefeed.with_payload(changefeed.of_table(changes, "orders")),
+                             keep=["logfileOffset", F.timestamp_millis("executeTime").alias("_changed")])
+    order = F.to_json(F.struct(*[n for n, _ in schemas.ORDER]))
+    found = timeouts.followed_by_or_timeout(
+        rows, "orderId", "_changed", "logfileOffset", patterns.order_created(), patterns.order_paid(),
+        within, delay=delay, slice_seconds=slice_seconds, payload=order)
+    late = found.filter(F.col("outcome") == "timeout").select(F.col("payload").alias("value"))
+    return sinks.write_values(late, target, checkpoint, **kw)
+
+
 def order_rollup(orders: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Orders per minute, area and status; a minute is emitted when it is over and `delay` past."""
     created = F.try_to_timestamp("createTime", F.lit(times.DATETIME))

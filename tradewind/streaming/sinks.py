@@ -19,11 +19,15 @@ def _trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
         processingTime=CHECKPOINT_EVERY)
 
 
-def write_json(df: DataFrame, target: str, checkpoint: str, *, fmt: str = "kafka",
-               once: bool = False, **options) -> StreamingQuery:
+def write_json(df: DataFrame, target: str, checkpoint: str, **kw) -> StreamingQuery:
     """Rows as JSON objects to a topic (Kafka) or a folder (file formats)."""
-    out = df.select(text.entity_json(df).alias("value"))
-    writer = (out.writeStream.format(fmt).outputMode("append").options(**options)
+    return write_values(df.select(text.entity_json(df).alias("value")), target, checkpoint, **kw)
+
+
+def write_values(values: DataFrame, target: str, checkpoint: str, *, fmt: str = "kafka",
+                 once: bool = False, **options) -> StreamingQuery:
+    """The text column `value` to a topic or a folder."""
+    writer = (values.writeStream.format(fmt).outputMode("append").options(**options)
               .option("checkpointLocation", checkpoint))
     writer = writer.option("topic", target) if fmt == "kafka" else writer.option("path", target)
     return _trigger(writer, once).start()

@@ -66,9 +66,12 @@ def _sliced(df: DataFrame, within: float, slice_seconds: float | None) -> DataFr
 
 def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Column,
                            second: Column, within: float, *, delay: str = "0 seconds",
-                           slice_seconds: float | None = None, buckets: int | None = None) -> DataFrame:
+                           slice_seconds: float | None = None, buckets: int | None = None,
+                           payload: Column | None = None) -> DataFrame:
     """Rows (key, ts, tie, outcome, paid_ts), each emitted once the watermark settles it.
 
+    `payload` is a text of the first event that is carried along and comes out as a column.
+
     `tie` must be a whole number; times are kept to the microsecond. `buckets` (by default four
     per shuffle partition) must stay the same for the life of a checkpoint.
     """
@@ -77,26 +80,30 @@ def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Co
     timed = df.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
     flagged = timed.select(key, "_at", F.col(tie).cast("bigint").alias("_tie"),
                            F.coalesce(first, F.lit(False)).alias("_first"),
-                           F.coalesce(second, F.lit(False)).alias("_second"))
+                           F.coalesce(second, F.lit(False)).alias("_second"),
+                           F.coalesce(F.when(first, payload) if payload is not None else F.lit(None),
+                                      F.lit("")).alias("_payload"))
     # Every event must move the watermark, but only two kinds need to be shuffled. Naming the
     # event time in the condition keeps the filter above the watermark in the plan.
     needed = flagged.filter(F.col("_first") | F.col("_second") | F.col("_at").isNull())
     cut = _sliced(needed, within, slice_seconds).withColumn(
         "_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     kind = df.schema[key].dataType.simpleString()
-    out = f"`{key}` {kind}, _us bigint, _tie bigint, _paid bigint"
-    held = f"key array<{kind}>, us array<bigint>, tie array<bigint>, first array<boolean>"
+    out = f"`{key}` {kind}, _us bigint, _tie bigint, _payload string, _paid bigint"
+    names = ("key", "us", "tie", "payload", "first")
+    held = (f"key array<{kind}>, us array<bigint>, tie array<bigint>, payload array<string>, "
+            "first array<boolean>")
 
     def run(group: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         parts = []
         if state.exists:
-            parts.append(pd.DataFrame(dict(zip(("key", "us", "tie", "first"), map(list, state.get)))))
+            parts.append(pd.DataFrame(dict(zip(names, map(list, state.get)))))
         for part in rows:
             if part.empty:  # a time-out call brings no events
                 continue
-            named = part.rename(columns={key: "key", "_us": "us", "_tie": "tie"})
+            named = part.rename(columns={key: "key", "_us": "us", "_tie": "tie", "_payload": "payload"})
             for flag, chosen in ((True, part["_first"] & part["_home"]), (False, part["_second"])):
-                parts.append(named.loc[chosen, ["key", "us", "tie"]].assign(first=flag))
+                parts.append(named.loc[chosen, list(names[:-1])].assign(first=flag))
         passed = state.getCurrentWatermarkMs() * 1000
         events = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame()
         if events.empty:
@@ -105,14 +112,14 @@ def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Co
             return
         done, kept, wake = _settle(events, reach, passed)
         if len(kept):
-            state.update(tuple(kept[c].tolist() for c in ("key", "us", "tie", "first")))
+            state.update(tuple(kept[c].tolist() for c in names))
             wake = int(kept["us"].max()) if wake is None else wake
             state.setTimeoutTimestamp(max(-(-wake // 1000), passed // 1000 + 1))
         elif state.exists:
             state.remove()
         if len(done):
             yield pd.DataFrame({key: done["key"], "_us": done["us"], "_tie": done["tie"],
-                                "_paid": done["paid"]})
+                                "_payload": done["payload"], "_paid": done["paid"]})
 
     settled = cut.groupBy("_bucket", "_slice").applyInPandasWithState(
         run, out, held, "append", GroupStateTimeout.EventTimeTimeout)
@@ -120,4 +127,5 @@ def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Co
     return settled.select(
         key, F.timestamp_micros("_us").alias(ts), F.col("_tie").alias(tie),
         F.when(paid, "paid").otherwise("timeout").alias("outcome"),
-        F.when(paid, F.timestamp_micros("_paid")).alias("paid_ts"))
+        F.when(paid, F.timestamp_micros("_paid")).alias("paid_ts"),
+        *([F.col("_payload").alias("payload")] if payload is not None else []))
