@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tradewind import schemas
 from tradewind.functions import text, times
-from tradewind.operators import changefeed, metrics, patterns, widen
+from tradewind.operators import changefeed, patterns, widen
 from tradewind.operators.dims import Dimensions
 from tradewind.streaming import sinks, timeouts
 
