@@ -29,7 +29,7 @@ def op10_hash_ring_shards(spark, sf_dir):
     """Documents on 40 shards by the bounded-load ring; its law is `rows`."""
     docs = read(spark, sf_dir, "documents").select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-        F.crc32("text").alias("text_crc32"))
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
     return hash_ring.assign(docs, tie="text_crc32", shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
