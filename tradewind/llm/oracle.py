@@ -3,3 +3,30 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op7_decontaminate"] = f"""
+WITH item AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+span AS (
+  SELECT item_id, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS i, w FROM item WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS t FROM span),
+size AS (SELECT DISTINCT n FROM win),
+place AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM doc, size WHERE len(w) >= n),
+cut AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS t FROM place),
+hit AS (SELECT doc_id, item_id, i, n FROM cut JOIN win USING (n, t)),
+word AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hit) GROUP BY doc_id),
+listed AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import hash_ring
+from tradewind.llm import decontaminate, hash_ring
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,17 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op7_decontaminate(spark, sf_dir):
+    """Words of documents inside any 13-word window of a benchmark item."""
+    found = decontaminate.contamination(read(spark, sf_dir, "documents").select("doc_id", "text"),
+                                        read(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated().alias("contaminated"))
+
+
 @query
 def op10_hash_ring_shards(spark, sf_dir):
     """Documents on 40 shards by the bounded-load ring; its law is `rows`."""
