@@ -30,3 +30,25 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN word USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+ORACLES["op1_minhash_dedup"] = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+place AS (
+  SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM doc WHERE len(w) > 0),
+shingle AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM place),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+pair AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n
+  FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM pair JOIN size x ON x.doc_id = a JOIN size y ON y.doc_id = b
+  WHERE 100 * pair.n >= 85 * (x.n + y.n - pair.n)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.other)
+SELECT doc_id, coalesce(size.n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN size USING (doc_id)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring
+from tradewind.llm import decontaminate, hash_ring, minhash_dedup
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def query(fn: Query) -> Query:
     return run
 
 
+@query
+def op1_minhash_dedup(spark, sf_dir):
+    """Groups of near-duplicate documents; the smallest id of each stays."""
+    return minhash_dedup.groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     """Words of documents inside any 13-word window of a benchmark item."""
