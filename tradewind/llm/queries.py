@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, minhash_dedup
+from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,21 @@ def op7_decontaminate(spark, sf_dir):
         decontaminate.contaminated().alias("contaminated"))
 
 
+LINES_PER_SHARD, LINES_PER_DOC = 200_000, 20
+
+
+@query
+def op8_line_dedup(spark, sf_dir):
+    """Documents without lines that a document of smaller id has; stored in two batches."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    shards = max(16, docs.count() * LINES_PER_DOC // LINES_PER_SHARD)
+    store = line_store.LineStore(spark, session.scratch_dir(spark, "line-store"), shards)
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    store.insert(docs.where(half == 0))
+    store.insert(docs.where(half == 1))
+    return store.apply(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 @query
 def op10_hash_ring_shards(spark, sf_dir):
     """Documents on 40 shards by the bounded-load ring; its law is `rows`."""
