@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup
+from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op8_line_dedup(spark, sf_dir):
     return store.apply(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_mix_sources(spark, sf_dir):
+    """Words that a mix of 150 percent of the corpus takes from each document."""
+    return mixing.totals(read(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
 @query
 def op10_hash_ring_shards(spark, sf_dir):
     """Documents on 40 shards by the bounded-load ring; its law is `rows`."""
