@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing
+from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing, quality_gam
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,16 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash_dedup.groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op6_quality_gam(spark, sf_dir):
+    """Quality scores of all documents by an additive model learned from the labels that are not held out."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_gam.fit(docs, read(spark, sf_dir, "labels"))
+    return quality_gam.scored(docs, model).select(
+        "doc_id", quality_gam.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_gam.CUT).cast("int").alias("predicted"))
+
+
 @query
 def op7_decontaminate(spark, sf_dir):
     """Words of documents inside any 13-word window of a benchmark item."""

@@ -55,14 +55,18 @@ class Block:
         self.end = np.flatnonzero(inside & ~after) + 1
         self.doc = np.searchsorted(self.at, self.start, "right") - 1
 
-    def hashes(self, fold: bool) -> np.ndarray:
-        """A 64-bit hash of every word; `fold` takes A-Z as lower case."""
+    def spans(self, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
+        """A 64-bit hash of every span of bytes; `fold` takes A-Z as lower case."""
         up, down = _power_tables(len(self.data) + 1)
         values = _VALUES[_FOLD] if fold else _VALUES
         total = np.zeros(len(self.data) + 1, _U)
         np.cumsum(values[self.data] * up[:len(self.data)], out=total[1:])
-        length = (self.end - self.start).astype(_U)
-        return mixed((total[self.end] - total[self.start]) * down[self.start] + length * _U(0xD6E8FEB86659FD93))
+        length = (end - start).astype(_U)
+        return mixed((total[end] - total[start]) * down[start] + length * _U(0xD6E8FEB86659FD93))
+
+    def hashes(self, fold: bool) -> np.ndarray:
+        """A hash of every word."""
+        return self.spans(self.start, self.end, fold)
 
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[Block]:
