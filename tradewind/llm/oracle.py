@@ -68,3 +68,43 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+# kind, pattern, group, least length of the group; base kinds first.
+_SECRETS = [
+    ("assign", """(?i)(password|passwd|secret|token|api_?key)["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
+    ("access", "AKIA[A-Z0-9]+", 0, 20),
+    ("hex", "[0-9a-f]+", 0, 24),
+    ("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    ("code_host", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat_token", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("web_token", "eyJ[A-Za-z0-9_-]{8,}\\\\.eyJ[A-Za-z0-9_-]{8,}\\\\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("url_login", "://[^\\\\s/:@]+:[^\\\\s/:@]+@", 0, 1),
+]
+
+
+def _secret(rank: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, start, stop FROM (
+    SELECT doc_id, g, sum(length(gap) + length(m)) OVER (PARTITION BY doc_id ORDER BY i) AS stop, stop - length(m) AS start
+    FROM (
+      SELECT doc_id, unnest(string_split_regex(text, {p})) AS gap,
+             unnest(regexp_extract_all(text, {p}, 0)) AS m, unnest(regexp_extract_all(text, {p}, {group})) AS g,
+             generate_subscripts(string_split_regex(text, {p}), 1) AS i
+      FROM documents WHERE regexp_matches(text, {p})) WHERE m IS NOT NULL)
+  WHERE length(g) >= {least}"""
+
+
+ORACLES["op5_secret_index"] = f"""
+WITH span AS ({" UNION ALL ".join(_secret(i, *r) for i, r in enumerate(_SECRETS))}),
+part AS (
+  SELECT doc_id, rank, kind, start, kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS s FROM span),
+per AS (
+  SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+         count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+         string_agg(s, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base, string_agg(s, ',' ORDER BY start, rank) AS spans
+  FROM part GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN per USING (doc_id)
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing, quality_gam
+from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash_dedup.groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_secret_index(spark, sf_dir):
+    """Secrets in documents, found by way of a trigram index."""
+    return secret_index.findings(read(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 @query
 def op6_quality_gam(spark, sf_dir):
     """Quality scores of all documents by an additive model learned from the labels that are not held out."""
