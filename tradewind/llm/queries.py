@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, line_store, minhash_dedup, mixing, quality_gam, secret_index
+from tradewind.llm import decontaminate, hash_ring, line_crf, line_store, minhash_dedup, mixing, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,15 @@ def op1_minhash_dedup(spark, sf_dir):
     return minhash_dedup.groups(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op2_line_crf(spark, sf_dir):
+    """Base rules, and the verdict of line labels from a conditional random field."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = line_crf.fit(docs, read(spark, sf_dir, "labels"))
+    return line_crf.judged(docs, model).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_content_words")
+
+
 @query
 def op5_secret_index(spark, sf_dir):
     """Secrets in documents, found by way of a trigram index."""
