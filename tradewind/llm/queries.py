@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import decontaminate, hash_ring, line_crf, line_store, minhash_dedup, mixing, quality_gam, secret_index
+from tradewind.llm import decontaminate, hash_ring, line_crf, line_store, minhash_dedup, mixing, page_diff, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,13 @@ def op2_line_crf(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_content_words")
 
 
+@query
+def op3_page_diff(spark, sf_dir):
+    """Main text of all pages."""
+    return page_diff.extract(read(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op5_secret_index(spark, sf_dir):
     """Secrets in documents, found by way of a trigram index."""
