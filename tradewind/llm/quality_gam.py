@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -178,3 +179,13 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_hash(F.col("text")).alias("_row"), "text").mapInArrow(
         run, "doc_id bigint, _row bigint, score double")
+
+
+def accepted(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
+    """The rows of `docs` that score at least `cut`, with all their columns, in one pass over the texts."""
+    @F.pandas_udf("double")
+    def score(texts):
+        found = [model.score(features(Stats(b))) for b in wordhash.blocks(pa.array(texts, pa.string()))]
+        return pd.Series(np.concatenate(found) if found else np.zeros(0))
+
+    return docs.where(score(F.col("text")) >= cut)
