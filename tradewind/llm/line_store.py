@@ -112,7 +112,7 @@ def _update(keys: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         seen |= layer.has(k0, k1)
     new = (sign == 2) | (sign == 1) & ~seen
     if new.any() and not layers:
-        layers.append(Cuckoo(buckets=max(LAYER_BUCKETS, 1 << int(np.ceil(np.log2(new.sum() / 3.2))))))
+        layers.append(Cuckoo(buckets=max(LAYER_BUCKETS, 1 << int(new.sum() / 3.2).bit_length())))
     if new.any():
         fp, bucket = layers[0].places(k0[new], k1[new])
         while len(fp):
