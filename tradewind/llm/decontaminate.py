@@ -120,5 +120,8 @@ def contaminated() -> Column:
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `docs` that the rule leaves."""
-    bad = contamination(docs.select("doc_id", "text"), items).where(contaminated()).select(*KEY)
-    return null_safe(docs.withColumn("_row", row_hash(F.col("text"))), bad, KEY, "left_anti").drop("_row")
+    bad = contamination(docs.select("doc_id", "text"), items).where(contaminated()).select(
+        F.col("doc_id").alias("_bad_id"), F.col("_row").alias("_bad_row"))
+    kept = docs.select(F.struct("*").alias("_doc")).join(
+        bad, F.col("_doc.doc_id").eqNullSafe(F.col("_bad_id")) & (row_hash(F.col("_doc.text")) == F.col("_bad_row")), "left_anti")
+    return kept.select("_doc.*")

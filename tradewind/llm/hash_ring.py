@@ -86,7 +86,8 @@ def assign(docs: DataFrame, key: str = "doc_id", tie: str = "text", shards: int
     if min(shards, cells, nodes) < 1:
         raise ValueError("shards, cells and nodes are positive")
     docs = docs.drop("shard", "slot")
-    placed = docs.withColumn("_cell", cell_of(F.col(key), F.col(tie), cells))
+    placed = docs.select(F.struct("*").alias("_doc"), cell_of(F.col(key), F.col(tie), cells).alias("_cell"))
+    key, tie = f"_doc.{key}", f"_doc.{tie}"
     counts = {r[0]: r[1] for r in placed.groupBy("_cell").count().collect()}  # at most `cells` rows
     plan = docs.sparkSession.createDataFrame(lay_out(counts, shards, cells, nodes) or [(-1, 0, 0, 0, 0)],
                                              "_at int, _from long, _to long, shard int, _slot long")
@@ -95,4 +96,4 @@ def assign(docs: DataFrame, key: str = "doc_id", tie: str = "text", shards: int
         W.partitionBy("_cell").orderBy(F.xxhash64(key), key, F.xxhash64(tie))).cast("long") - 1)
     joined = ranked.join(F.broadcast(plan), (F.col("_cell") == F.col("_at")) & (F.col("_rank") >= F.col("_from"))
                          & (F.col("_rank") < F.col("_to")))
-    return joined.select(*docs.columns, "shard", (F.col("_slot") + F.col("_rank") - F.col("_from")).alias("slot"))
+    return joined.select("_doc.*", "shard", (F.col("_slot") + F.col("_rank") - F.col("_from")).alias("slot"))

@@ -160,7 +160,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     _, _, taken = mix(docs, **how)
     # At most two rounds over the document's own blocks.
     pieces = taken.groupBy(*KEY).agg(F.collect_list(F.struct("round", "begin", "end", "_id")).alias("_pieces"))
-    whole = docs.withColumn("_row", row_hash(F.col("text"))).dropDuplicates(KEY)
+    whole = docs.select("doc_id", row_hash(F.col("text")).alias("_row"), F.struct("*").alias("_doc")).dropDuplicates(KEY)
 
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series, pieces: pd.Series) -> pd.Series:
@@ -178,6 +178,5 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
             out.append([text if e - b == len(at) else text[at[b][0]:at[e - 1][1]] for _, _, b, e in runs])
         return pd.Series(out)
 
-    joined = null_safe(whole, pieces, KEY, "inner")
-    return joined.select(*[F.col(c) for c in docs.columns if c != "text"], F.explode(cut("text", "_pieces")).alias("text")).select(
-        *docs.columns)
+    joined = null_safe(whole, pieces, KEY, "inner").select("_doc", F.explode(cut("_doc.text", "_pieces")).alias("_piece"))
+    return joined.select(*[F.col("_piece").alias("text") if c == "text" else F.col(f"_doc.`{c}`") for c in docs.columns])
