@@ -12,7 +12,7 @@ import sys
 import time
 
 HEADLINE = [
-    "k2_state_goods", "k3_line_state", "f10_order_entity", "s3_envelope_round_trip", "s4_log_flatten",
+    "k2_state_goods", "k3_line_state", "f10_order_entity", "s4_log_flatten",
     "j1_order_lines", "j2_goods", "j3_carts", "j4_comments", "j5_ip_places",
     "j11_refund_lines", "j12_line_created",
     "a0_order_rollup", "a1_daily_visitors", "a2_funnel", "a7_week_sales", "a10_sales_by_hour_day",

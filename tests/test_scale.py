@@ -8,6 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from tradewind.functions import text, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, lookup, metrics, patterns, widen
 from tradewind.plans.queries import QUERIES
 from tradewind.sources import tables
@@ -21,21 +22,27 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
-def test_salted_join_equals_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "HOT_ROWS", 500)
-    # A third of all rows share one key, and many of them are identical.
-    fact = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"),
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v")).repartition(5)
+def test_shuffle_join_equals_broadcast_and_splits_hot_keys(spark):
+    # A third of all rows share one key, a third have none.
+    fact = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id") % 50).alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("v"))
     dim = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    for how in ("left", "inner"):
-        small = lookup.lookup_join(fact, dim, "k", how)
-        large = lookup.lookup_join(fact, dim, "k", how, limit=0)
-        assert "_salt" in plan_of(large) and "_salt" not in plan_of(small)
-        assert small.columns == large.columns == ["k", "v", "w"]
-        assert rows(small) == rows(large) == rows(fact.join(dim, "k", how).select("k", "v", "w"))
-    assert [r[0] for r in lookup.hot_keys(fact, ["k"]).collect()] == [
-        spark.range(1).select(F.xxhash64(F.lit(7).cast("bigint"))).first()[0]]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        for how in ("left", "inner"):
+            small = lookup.lookup_join(fact, dim, "k", how)
+            large = lookup.lookup_join(fact, dim, "k", how, limit=0)
+            assert small.columns == large.columns == ["k", "v", "w"]
+            assert rows(small) == rows(large) == rows(fact.join(dim, "k", how).select("k", "v", "w"))
+            large.collect()
+            assert "skew=true" in plan_of(large)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     # Keys of another type, and keys that do not fit the fact's type.
     texts = spark.createDataFrame([("7", "seven"), ("x", "none"), ("8", "eight")], "name string, w string")
     for limit in (None, 0):
@@ -45,6 +52,21 @@ def test_salted_join_equals_broadcast(spark, monkeypatch):
         lookup.lookup_join(fact, dim, "k", "right")
 
 
+def test_order_lines_scan_the_fact_once_without_broadcast(spark, root, monkeypatch):
+    monkeypatch.setattr(lookup, "BROADCAST_LIMIT", 0)
+    plan = plan_of(QUERIES["j1_order_lines"](spark, root)).split("== Physical Plan ==")[1]
+    assert len(re.findall(r"FileScan parquet \[[^\]]*l_", plan)) == 1
+
+
+def test_repeated_and_broken_dimension_rows_change_no_fact(spark, root):
+    views = {n: v(spark, root) for n, v in tables.DIMENSION_VIEWS.items()}
+    changes = tables.line_changes(spark, root)
+    want = rows(widen.order_lines(changes, dims.Dimensions(**views)))
+    doubled = dict(views, shops=views["shops"].unionAll(views["shops"]), goods_cats=views["goods_cats"].unionAll(
+        views["goods_cats"].limit(1).withColumn("catId", F.lit("no number")).withColumn("parentId", F.lit("none"))))
+    assert rows(widen.order_lines(changes, dims.Dimensions(**doubled))) == want
+
+
 def test_size_check(spark, root):
     assert lookup.fits_broadcast(tables.org(spark, root))
     assert not lookup.fits_broadcast(tables.org(spark, root), limit=10)
@@ -55,7 +77,6 @@ def test_widening_without_broadcast(spark, root, monkeypatch):
     carts, ranges = tables.cart_messages(spark, root), tables.ip_ranges(spark, root)
     small = rows(widen.carts(carts, d, ranges, keep=["event_id"]))
     monkeypatch.setattr(lookup, "BROADCAST_LIMIT", 0)
-    monkeypatch.setattr(lookup, "HOT_ROWS", 1)
     assert rows(widen.carts(carts, d, ranges, keep=["event_id"])) == small
 
 
@@ -151,7 +172,6 @@ def test_refunds_and_updates_without_broadcast(spark, monkeypatch):
     orders = spark.createDataFrame([(1, 10), (2, 3), (3, 11), (4, 11)], "orderId bigint, orderStatus int")
     want = rows(lines.join(orders, "orderId", "right").filter("orderStatus in (10, 11)").select("orderId", "goodsId"))
     news = spark.createDataFrame([(1, None), (2, 5)], "orderId bigint, goods bigint")
-    monkeypatch.setattr(lookup, "HOT_ROWS", 2)
     for limit in (1 << 28, 0):
         monkeypatch.setattr(lookup, "BROADCAST_LIMIT", limit)
         assert rows(backfill.refund_lines(lines, orders)) == want
@@ -160,10 +180,25 @@ def test_refunds_and_updates_without_broadcast(spark, monkeypatch):
             [(1, None), (1, None), (1, None), (2, 5), (4, 9)], key=str)
 
 
-def test_values_in_blocks(spark):
-    df = spark.createDataFrame([(1, v) for v in (5, 3, 130, 70)] + [(2, 1)], "k int, v bigint")
-    got = backfill.values_per_key(df, "k", "v", block=64).orderBy("k", "block").collect()
-    assert [tuple(r) for r in got] == [(1, 0, [3, 5]), (1, 1, [70]), (1, 2, [130]), (2, 0, [1])]
+def test_range_width_does_not_show(spark, root):
+    df = spark.createDataFrame([(k, v) for k in (1, 2, None) for v in [5, 5, 70, 1, 1000, None]], "k int, v bigint")
+    got = [rows(backfill.values_per_key(df, "k", "v", width=w)) for w in (1, 64, 1 << 16)]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 15
+    one = backfill.values_per_key(df, "k", "v").where("k = 1").orderBy("position").collect()
+    assert [tuple(r) for r in one] == [(1, i, v, 5) for i, v in enumerate([1, 5, 5, 70, 1000])]
+
+
+def test_any_log_line_is_survived(spark):
+    head = '10.1.1.1 1.2.3.4 - [05/Sep/2010:11:27:50 +0200] "GET /a HTTP/1.1" 200 10 "http://x/y" "'
+    agents = ["a" * 100_000, "\\\\" * 100_000, '\\"' * 100_000]
+    lines = spark.createDataFrame([(head + a + '"',) for a in agents] + [(head + "b" * 200_000,)], "value string")
+    got = weblog.parse(lines).select(F.length("userAgent").alias("n")).collect()
+    assert [r.n for r in got] == [100_000, 200_000, 200_000, None]
+
+
+def test_money_out_of_range_is_null(spark):
+    df = spark.createDataFrame([(1.25,), (float("nan"),), (1e40,), (1e20,)], "v double")
+    assert df.agg(text.money_sum(F.col("v")).alias("s")).first().s == pytest.approx(1e20)
 
 
 def test_latest_state_rules(spark):

@@ -205,40 +205,23 @@ def test_change_stream_from_files(spark, root, tmp_path):
     assert got.count() == feed.count()
 
 
-def test_envelope_bytes(spark):
-    from tradewind.sources import envelope
-
-    df = spark.createDataFrame([
-        ("log.1", 7, 1700000000123, "shop", "订单", "insert", {"备注": "é" * 300, "empty": ""}),
-        ("", 0, 0, "", "", "", {}),
-        (None, 1 << 40, 1, "s", "t", "delete", None)], schemas.ddl(schemas.CHANGE))
-    back = changefeed.decode(changefeed.encode(df)).collect()
-    assert back[0].asDict() == df.first().asDict()
-    assert back[2]["logfileOffset"] == 1 << 40 and back[2]["columns"] == {}
-    broken = spark.createDataFrame([(b"\x12\x7fabc",), (b"\xff" * 12,), (None,), (b"\x12\x02\xff\xfe",)], "value binary")
-    good, bad = changefeed.quarantine(changefeed.decode(broken))
-    assert (good.count(), bad.count()) == (0, 4)
-    protobuf = pytest.importorskip("google.protobuf")
-    from google.protobuf import descriptor_pb2, descriptor_pool, message_factory
-
-    kinds = {"uint64": 4, "string": 9}
-    file = descriptor_pb2.FileDescriptorProto(name="e.proto", syntax="proto3")
-    msg = file.message_type.add(name="RowData")
-    for name, number in envelope.INTEGERS.items():
-        msg.field.add(name=name, number=number, type=kinds["uint64"], label=1)
-    for name, number in envelope.TEXTS.items():
-        msg.field.add(name=name, number=number, type=kinds["string"], label=1)
-    entry = msg.nested_type.add(name="ColumnsEntry")
-    entry.options.map_entry = True
-    for name, number in (("key", 1), ("value", 2)):
-        entry.field.add(name=name, number=number, type=9, label=1)
-    msg.field.add(name="columns", number=5, type=11, label=3, type_name=".RowData.ColumnsEntry")
-    pool = descriptor_pool.DescriptorPool()
-    pool.Add(file)
-    kind = message_factory.GetMessageClass(pool.FindMessageTypeByName("RowData"))
-    # The bytes are read by an independent implementation, and its bytes are read here.
-    parsed = kind.FromString(bytes(changefeed.encode(df).first()["value"]))
-    assert parsed.tableName == "订单" and dict(parsed.columns) == {"备注": "é" * 300, "empty": ""}
-    assert parsed.executeTime == 1700000000123 and parsed.logfileOffset == 7
-    other = spark.createDataFrame([(parsed.SerializeToString(),)], "value binary")
-    assert changefeed.decode(other).first().asDict() == df.first().asDict()
+STREAMED = ["k1_order_json_job", "k4_line_job", "a0_rollup_stream", "a1_visitors_stream", "t4_paid_or_timeout_stream", "c4_unpaid_orders_job"]
+
+
+@pytest.mark.parametrize("name", STREAMED)
+def test_streams_read_folders_of_parts(spark, root, tmp_path, name):
+    """A table is the same table as one file or as parts in any order, over several micro-batches."""
+    from tradewind.plans.queries import QUERIES
+
+    for table in os.listdir(root):
+        source = f"{root}/{table}"
+        if table in ("orders.parquet", "lineitem.parquet", "events.parquet"):
+            spark.read.parquet(source).repartition(10).write.parquet(f"{tmp_path}/{table}")
+        else:
+            os.symlink(source, f"{tmp_path}/{table}")
+    assert values(QUERIES[name](spark, str(tmp_path))) == values(QUERIES[name](spark, root))
+
+
+def test_streams_of_missing_tables_fail(spark, root):
+    with pytest.raises(Exception, match="nowhere"):
+        tables.stream(spark, root, "nowhere")

@@ -30,12 +30,12 @@ def line_amount(price: Column, count: Column) -> Column:
 
 
 def money_sum(amount: Column) -> Column:
-    """Exact sum of two-decimal money.
+    """Exact sum of two-decimal money. Values no decimal(38,2) can hold, NaN among them, count as null.
 
     Adding doubles depends on the order in which partitions arrive and loses cents in large
     totals; the decimal sum is the same on every run.
     """
-    return F.sum(amount.cast("decimal(18,2)")).cast("double")
+    return F.sum(amount.try_cast("decimal(38,2)")).try_cast("double")
 
 
 def status_band(drawn: Column) -> Column:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tradewind.functions import times
 
-_QUOTED = r'"((?:[^"\\]|\\.)*)"'
+# Possessive: the match of a field never backs up, so its length does not matter.
+_QUOTED = r'"((?:[^"\\]++|\\.)*+)"'
 LINE = (
     r'^(\S+) (\S+) (\S+) \[([^\]]*)\] ' + _QUOTED + r' (\d{3}|-) (\d+|-) '
     + _QUOTED + " " + _QUOTED + r'\s*$'

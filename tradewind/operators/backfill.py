@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewind.functions import text
@@ -13,13 +14,13 @@ def refund_lines(lines: DataFrame, orders: DataFrame, statuses=(10, 11)) -> Data
     """Order and goods of every order in a refund status; orders without lines keep null goods.
 
     The right outer join is taken apart: matching lines come from a lookup join, which splits an
-    order with very many lines over tasks, and orders without lines from an anti join against
-    order ids reduced on the map side.
+    order with very many lines over tasks, and orders without lines from an anti join against the
+    refund orders that were matched.
     """
     wanted = orders.filter(F.col("orderStatus").isin(*statuses)).select("orderId")
     matched = lookup_join(lines.select("orderId", "goodsId"), wanted, "orderId", "inner",
                           sized_by=[orders])
-    empty = wanted.join(lines.select("orderId").distinct(), "orderId", "left_anti")
+    empty = wanted.join(matched.select("orderId").distinct(), "orderId", "left_anti")
     return matched.unionByName(empty.withColumn("goodsId", F.lit(None).cast(
         lines.schema["goodsId"].dataType)))
 
@@ -51,14 +52,23 @@ def write_back_amounts(orders: DataFrame, amounts: DataFrame) -> DataFrame:
                        {"totalMoney": "amount", "realTotalMoney": "amount"})
 
 
-def values_per_key(rows: DataFrame, key: str, value: str, *, block: int = 1 << 16) -> DataFrame:
-    """Sorted list of ids per key, in blocks of the id range.
+def values_per_key(rows: DataFrame, key: str, value: str, *, width: int = 1 << 16) -> DataFrame:
+    """(key, position, value, length): the sorted list of ids of each key, an element a row.
 
-    An ordinary key has one row, block 0 or whichever its ids fall in. A key with a huge number
-    of ids gets one row per block instead of a single row that cannot be held.
+    Ids are ranked inside ranges of `width`, and counts per range give the position where a range begins, so no
+    task holds the list of a key. The width does not show in the result. Null ids are left out; repeated ones keep
+    their places.
     """
-    return (rows.groupBy(key, F.expr(f"`{value}` div {block}").alias("block"))
-            .agg(F.sort_array(F.collect_list(value)).alias("values")))
+    ranged = rows.filter(F.col(value).isNotNull()).withColumn("_range", F.expr(f"`{value}` div {width}"))
+    counts = ranged.groupBy(key, "_range").agg(F.count("*").alias("_n"))
+    upto = W.partitionBy(key).orderBy("_range")
+    begins = counts.select(
+        F.col(key).alias("_key"), F.col("_range").alias("_r"),
+        (F.sum("_n").over(upto) - F.col("_n")).alias("_begin"), F.sum("_n").over(W.partitionBy(key)).alias("length"))
+    rank = F.row_number().over(W.partitionBy(key, "_range").orderBy(value)) - 1
+    return (ranged.withColumn("_rank", rank)
+            .join(begins, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_r")))
+            .select(key, (F.col("_begin") + F.col("_rank")).alias("position"), F.col(value).alias("value"), "length"))
 
 
 def top_items(rows: DataFrame, by: str, n: int = 10) -> DataFrame:

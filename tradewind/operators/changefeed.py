@@ -15,41 +15,25 @@ CHANGE_ORDER = ("executeTime", "logfileName", "logfileOffset")
 MESSAGE = "RowData"
 
 
-def decode(df: DataFrame, value: str = "value", *, descriptor: str | None = None,
-           keep: list[str] | None = None) -> DataFrame:
+def decode(df: DataFrame, descriptor: str, value: str = "value", *, keep: list[str] | None = None) -> DataFrame:
     """Envelope bytes to envelope columns; bytes that are no envelope give null columns.
 
-    With a descriptor file this is Spark's own protobuf reader. Without one (the protobuf
-    module is an optional package of Spark) the seven fields are read in Arrow batches.
+    This is Spark's own protobuf reader, which needs the optional protobuf package of Spark and a descriptor file.
     """
     kept = keep or []
-    if descriptor:
-        from pyspark.sql.protobuf.functions import from_protobuf
+    from pyspark.sql.protobuf.functions import from_protobuf
 
-        parsed = df.select(*kept, from_protobuf(
-            F.col(value), MESSAGE, descFilePath=descriptor,
-            options={"mode": "PERMISSIVE"}).alias("_e"))
-        return parsed.select(*kept, *[F.col(f"_e.{n}").cast(t).alias(n) for n, t in schemas.CHANGE])
-    from tradewind.sources import envelope
+    parsed = df.select(*kept, from_protobuf(
+        F.col(value), MESSAGE, descFilePath=descriptor, options={"mode": "PERMISSIVE"}).alias("_e"))
+    return parsed.select(*kept, *[F.col(f"_e.{n}").cast(t).alias(n) for n, t in schemas.CHANGE])
 
-    kinds = ",".join(f"{n}:{t}" for n, t in schemas.CHANGE)
-    # Not deterministic as far as the planner knows: else filters on the fields pull a second
-    # evaluation of the whole decode below them.
-    read = F.arrow_udf(envelope.read_batch, f"struct<{kinds}>").asNondeterministic()
-    parsed = df.select(*kept, read(F.col(value)).alias("_e"))
-    return parsed.select(*kept, *[F.col(f"_e.{n}").alias(n) for n, _ in schemas.CHANGE])
 
-
-def encode(df: DataFrame, *, descriptor: str | None = None) -> DataFrame:
+def encode(df: DataFrame, descriptor: str) -> DataFrame:
     """Envelope columns to one `value` column of bytes."""
-    row = F.struct(*[F.col(n) for n, _ in schemas.CHANGE])
-    if descriptor:
-        from pyspark.sql.protobuf.functions import to_protobuf
+    from pyspark.sql.protobuf.functions import to_protobuf
 
-        return df.select(to_protobuf(row, MESSAGE, descFilePath=descriptor).alias("value"))
-    from tradewind.sources import envelope
-
-    return df.select(envelope.write().alias("value"))
+    row = F.struct(*[F.col(n) for n, _ in schemas.CHANGE])
+    return df.select(to_protobuf(row, MESSAGE, descFilePath=descriptor).alias("value"))
 
 
 def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:

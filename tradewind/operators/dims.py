@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.operators.lookup import lookup_join
+from tradewind.operators.lookup import lookup_join, one_per_key
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,13 @@ class Dimensions:
     org: DataFrame
     shop_cats: DataFrame | None = None
 
+    def __post_init__(self) -> None:
+        """Snapshots may repeat a key; a fact must still meet one row of it."""
+        for name, key in (("goods", "goodsId"), ("goods_cats", "catId"), ("shops", "shopId"), ("org", "orgId"), ("shop_cats", "catId")):
+            rows = getattr(self, name)
+            if rows is not None:
+                object.__setattr__(self, name, one_per_key(rows, key))
+
 
 def flatten_categories(cats: DataFrame) -> DataFrame:
     """Each category with its parent and its parent's parent; absent levels are null."""
@@ -56,7 +63,7 @@ def goods_profile(d: Dimensions) -> DataFrame:
     """
     rows = d.goods.select(
         F.col("goodsId").alias("goodsKey"), "goodsName", "shopPrice",
-        F.col("goodsCatId").cast("string").alias("_cat"), F.col("shopId").cast("int").alias("_shop"))
+        F.col("goodsCatId").cast("string").alias("_cat"), F.col("shopId").try_cast("int").alias("_shop"))
     wide = lookup_join(rows, flatten_categories(d.goods_cats), [("_cat", "cat3Id")],
                        sized_by=[d.goods_cats])
     wide = lookup_join(wide, shop_profile(d), [("_shop", "shopKey")], sized_by=[d.shops])

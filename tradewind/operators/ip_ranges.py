@@ -34,23 +34,17 @@ def _fits(ranges: DataFrame) -> bool:
     return size * lookup.EXPANSION + _BLOCKS * _ROW_BYTES <= lookup.BROADCAST_LIMIT
 
 
-def locate(fact: DataFrame, ranges: DataFrame, ip: str = "ip", *,
-           salts: int = lookup.SALTS) -> DataFrame:
+def locate(fact: DataFrame, ranges: DataFrame, ip: str = "ip") -> DataFrame:
     """Add `country` and `area` of the address; gaps between ranges are unknown places.
 
-    The table of ranges is broadcast after a size check. A larger one is joined by block, with
-    the fact side salted, since one provider's block can hold a large share of all visits.
+    The table of ranges is broadcast after a size check. A larger one is joined by block; one provider's
+    block can hold a large share of all visits, which run-time skew splitting spreads.
     """
     numbered = fact.withColumn("_ip", geo.ip_number(F.col(ip)))
     keyed = numbered.withColumn("_b", F.shiftright("_ip", BLOCK_BITS))
     places = cut(ranges)
     hit = (F.col("_b") == F.col("_block")) & F.col("_ip").between(F.col("begin"), F.col("end"))
-    if _fits(ranges):
-        joined = keyed.join(F.broadcast(places), hit, "left")
-    else:
-        keyed = keyed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        copies = places.withColumn("_lsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        joined = keyed.join(copies, hit & (F.col("_salt") == F.col("_lsalt")), "left")
+    joined = keyed.join(F.broadcast(places) if _fits(ranges) else places, hit, "left")
     return joined.select(
         *fact.columns,
         F.coalesce("country", F.lit(geo.UNKNOWN_COUNTRY)).alias("country"),

@@ -1,8 +1,8 @@
 """The one join every enrichment uses: a fact against a keyed lookup table.
 
-No shuffle of the fact while the lookup is provably small. Beyond that, a shuffle join in which
-hot keys are salted: a fact key that holds a third of all rows is spread over many tasks, and
-only the lookup rows of such keys are copied.
+No shuffle of the fact while the lookup is provably small. Beyond that, one plain shuffle join: the fact
+is scanned once, and run-time planning splits partitions that turn out too large, hot keys included
+(`spark.sql.adaptive.skewJoin.enabled`, on by default; inner and left joins split the fact side).
 """
 
 from __future__ import annotations
@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT = 256 * 1024 * 1024
 # A row in a broadcast hash table is far larger than the same row in compressed parquet.
 EXPANSION = 32
-SALTS = 64
-# Keys with more rows than one task should take are hot. At most HOT_KEYS are looked for, which
-# bounds the table of hot keys that is broadcast.
-HOT_ROWS = 2_000_000
-HOT_KEYS = 1000
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -43,23 +38,6 @@ def fits_broadcast(df: DataFrame, sized_by: list[DataFrame] | None = None,
     return sum(sizes) * EXPANSION <= limit
 
 
-def hot_keys(fact: DataFrame, keys: list[str]) -> DataFrame:
-    """Hashes of the fact's hot keys, at most HOT_KEYS rows in a column `_hot`.
-
-    A sketch of fixed size per task finds them in one pass over the key columns. Its estimates
-    decide only which keys are spread, never what a row is joined to.
-    """
-    sketch = fact.select(F.xxhash64(*keys).alias("_h")).agg(
-        F.expr(f"approx_top_k(_h, {HOT_KEYS}, {10 * HOT_KEYS})").alias("_top"))
-    found = sketch.select(F.inline("_top")).filter(F.col("count") > HOT_ROWS)
-    return found.select(F.col("item").alias("_hot"))
-
-
-def _with_hot(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
-    hashed = df.withColumn("_h", F.xxhash64(*keys))
-    return hashed.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left").drop("_h")
-
-
 def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left", *,
                 sized_by: list[DataFrame] | None = None, limit: int | None = None) -> DataFrame:
     """Join `fact` to `lookup` on equal keys (left or inner), whatever the lookup's size.
@@ -81,15 +59,14 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left", *,
     for (left, _), k in zip(pairs, keys):
         cond = cond & (F.col(left) == F.col(k))
     if fits_broadcast(lookup, sized_by, limit):
-        return fact.join(F.broadcast(marked), cond, how).drop(*keys)
-    lefts = [l for l, _ in pairs]
-    hot = hot_keys(fact, lefts)
-    # The salt is the map partition, so rows of one key (even identical copies) spread out, a
-    # retried task computes the same salt again, and each fact row still meets its match once.
-    salted = _with_hot(fact, lefts, hot).withColumn("_salt", F.when(
-        F.col("_hot").isNotNull(), F.pmod(F.spark_partition_id(), F.lit(SALTS))).otherwise(0)).drop("_hot")
-    copies = _with_hot(marked, keys, hot).withColumn("_lsalt", F.explode(F.when(
-        F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    )).drop("_hot")
-    return (salted.join(copies, cond & (F.col("_salt") == F.col("_lsalt")), how)
-            .drop(*keys, "_salt", "_lsalt"))
+        marked = F.broadcast(marked)
+    return fact.join(marked, cond, how).drop(*keys)
+
+
+def one_per_key(lookup: DataFrame, key: str) -> DataFrame:
+    """A dimension snapshot with one row per key: of repeated keys the largest row in column order."""
+    rest = [c for c in lookup.columns if c != key]
+    if not rest:
+        return lookup.distinct()
+    return lookup.groupBy(key).agg(F.max(F.struct(*rest)).alias("_v")).select(
+        *[key if c == key else F.col(f"_v.`{c}`").alias(c) for c in lookup.columns])

@@ -193,4 +193,4 @@ def finished_by_day_of_month(dws: DataFrame, as_of, *, length: str = "7 DAY", n:
 
 
 def sum_per_user(rows: DataFrame, user: str, views: str) -> DataFrame:
-    return (rows.groupBy(user).agg(text.money_sum(F.col(views)).alias("views")).orderBy(user))
+    return (rows.groupBy(user).agg(F.sum(views).alias("views")).orderBy(user))

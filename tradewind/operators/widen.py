@@ -16,7 +16,7 @@ from tradewind.operators.lookup import lookup_join
 
 
 def _number(name: str, kind: str = "int") -> Column:
-    return F.coalesce(F.col(name).cast(kind), F.lit(0).cast(kind))
+    return F.coalesce(F.col(name).try_cast(kind), F.lit(0).cast(kind))
 
 
 def _word(name: str) -> Column:
@@ -107,7 +107,7 @@ def carts(messages: DataFrame, d: Dimensions, ranges: DataFrame, *, value: str =
     complete = F.lit(True)
     for part in ("shopKey", "cat3Id", "cat2Id", "cat1Id", "cityId", "regionId"):
         complete = complete & F.col(part).isNotNull()
-    added = lambda source, kind="string": F.when(complete, source.cast(kind)).otherwise(
+    added = lambda source, kind="string": F.when(complete, source.try_cast(kind)).otherwise(
         F.lit("" if kind == "string" else 0).cast(kind))
     province, city = geo.region_split(F.col("country"))
     return wide.select(
@@ -132,7 +132,7 @@ def comments(messages: DataFrame, d: Dimensions, *, value: str = "value",
         text.attachment("c"), times.millis_text(F.col("c.timestamp")).alias("createTime"),
         "c.goodsId", F.col("c.goodsId").try_cast("bigint").alias("_g"))
     named = d.goods.select(F.col("goodsId").alias("_gk"), "goodsName",
-                           F.col("shopId").cast("bigint").alias("shopId"))
+                           F.col("shopId").try_cast("bigint").alias("shopId"))
     wide = lookup_join(rows, named, [("_g", "_gk")], sized_by=[d.goods])
     return wide.select(
         *kept, "userId", "userName", "orderGoodsId", "starScore", "comments", "assetsViedoJSON",

@@ -98,14 +98,3 @@ DIMENSIONS = {
     "shop_cats": ("catId", [("catId", "string"), ("parentId", "string"),
                             ("catName", "string"), ("catSort", "string")]),
 }
-
-# Output topics of the jobs.
-TOPICS = {
-    "order": "dwd_order",
-    "order_detail": "dwd_order_detail",
-    "cart": "dwd_cart",
-    "click_log": "dwd_click_log",
-    "goods": "dwd_goods",
-    "order_timeout": "dwd_order_timeout",
-    "comments": "dwd_comments",
-}

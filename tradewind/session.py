@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -39,13 +42,22 @@ def ensure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@functools.cache
+def _local_scratch() -> str:
+    base = tempfile.mkdtemp(prefix="tradewind-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory under the cluster's shared checkpoint folder.
 
-    The folder is read from `spark.checkpoint.dir`; only a session that names none
-    (a local test) gets a temporary one.
+    The folder is read from `spark.checkpoint.dir`, or is the one set with `setCheckpointDir`. Only a
+    session on one machine may name none; it gets a temporary folder that goes with the process.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tradewind-")
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
+        base = _local_scratch()
     return f"{base.rstrip('/')}/tradewind/{purpose}-{uuid.uuid4().hex}"

@@ -49,4 +49,4 @@ def jdbc_dimension(spark: SparkSession, url: str, table: str, dimension: str, *,
 def project_dimension(rows: DataFrame, dimension: str) -> DataFrame:
     """The columns of a dimension, typed."""
     _, fields = schemas.DIMENSIONS[dimension]
-    return rows.select(*[F.col(n).cast(t).alias(n) for n, t in fields])
+    return rows.select(*[F.col(n).try_cast(t).alias(n) for n, t in fields])

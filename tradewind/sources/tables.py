@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tradewind.functions import geo, times
 
@@ -19,21 +18,26 @@ MISSING_CATEGORY = 1050
 AREA_IDS = 28
 
 
-# Schemas seen so far: reading a table again then needs no look into its files.
-_SCHEMAS: dict[str, StructType] = {}
+FILES_PER_BATCH = 8
 
 
-def load(spark: SparkSession, root: str, name: str) -> DataFrame:
-    path = f"{root.rstrip('/')}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+def _path(root: str, name: str) -> str:
+    return f"{root.rstrip('/')}/{name}.parquet"
 
 
-def stream(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The same table as a stream of its files."""
-    return (spark.readStream.format("parquet").schema(load(spark, root, name).schema)
-            .option("pathGlobFilter", f"{name}.parquet").load(root))
+def load(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return spark.read.parquet(_path(root, name))
+
+
+def stream(spark: SparkSession, root: str, name: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """The same table as a stream of its files, a few in each micro-batch. A table is a folder of parts or one file."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_path(root, name))
+    status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)  # raises if there is none
+    reader = (spark.readStream.format("parquet").schema(load(spark, root, name).schema)
+              .option("maxFilesPerTrigger", files_per_batch))
+    if status.isDirectory():
+        return reader.load(_path(root, name))
+    return reader.option("pathGlobFilter", f"{name}.parquet").load(root)
 
 
 # ---- dimensions -------------------------------------------------------------------------

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tradewind import schemas
 from tradewind.functions import text, times
@@ -20,9 +21,29 @@ def event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-def seconds_time(df: DataFrame, seconds: str, ts: str = "ts", delay: str = "0 seconds") -> DataFrame:
-    """Event time from epoch seconds."""
-    return df.withColumn(ts, F.timestamp_seconds(seconds)).withWatermark(ts, delay)
+#: Time of an end mark: past every window, and still inside what Spark can add delays to.
+END_OF_TIME = "9000-01-01 00:00:00"
+#: Delay for history read from files, whose parts come in no order of time: nothing is late before the end mark.
+ANY_ORDER = "36500 days"
+
+
+class EndMark:
+    """Closes a finished input. A watermark only follows events, so windows at the end of the data stay open; a last
+    row without key, with a time past them all, closes them. Unite the stream with `rows` before its watermark, run the job,
+    `close`, and run it again on the same checkpoint. `schema` is that of the stream at that point."""
+
+    def __init__(self, spark: SparkSession, schema: StructType, folder: str):
+        self.spark, self.schema, self.folder = spark, schema, folder
+        spark.createDataFrame([], schema).write.mode("append").parquet(folder)
+
+    def after(self, stream: DataFrame) -> DataFrame:
+        return stream.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
+
+    def close(self, **values) -> None:
+        """Writes the row: these columns, all others null."""
+        one = self.spark.range(1).select(*[
+            (values[f.name] if isinstance(values.get(f.name), Column) else F.lit(values.get(f.name))).cast(f.dataType).alias(f.name) for f in self.schema.fields])
+        one.write.mode("append").parquet(self.folder)
 
 
 def once_each(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -51,10 +72,12 @@ def order_lines_job(changes: DataFrame, dimensions: Callable[[], Dimensions], ta
 
     def write(batch: DataFrame, batch_id: int) -> None:
         wide = widen.order_lines(batch, dimensions(), on_missing=on_missing, keep=order).persist()
-        sinks.write_json_batch(changefeed.inserts(wide).drop(*order, "eventType"), target,
-                               batch_id, fmt=fmt, **options)
-        sinks.append_changes(wide, batch_id, table, ["ogId"], order)
-        wide.unpersist()
+        try:
+            sinks.write_json_batch(changefeed.inserts(wide).drop(*order, "eventType"), target,
+                                   batch_id, fmt=fmt, **options)
+            sinks.append_changes(wide, batch_id, table, ["ogId"], order)
+        finally:
+            wide.unpersist()
 
     return sinks.each_batch(changefeed.of_table(changes, "order_goods"), write, checkpoint, once=once)
 
@@ -86,7 +109,7 @@ def _enriched(stream: DataFrame, widened: Callable[[DataFrame], DataFrame], targ
 
 def unpaid_orders_job(changes: DataFrame, target: str, checkpoint: str, *, within: float = 900.0,
                       delay: str = "0 seconds", slice_seconds: float = 30 * 86400.0,
-                      **kw) -> StreamingQuery:
+                      buckets: int = timeouts.BUCKETS, **kw) -> StreamingQuery:
     """Orders that were created and not paid in time, as JSON of the order at its creation.
 
     One order has a handful of changes, so slices of time need not be fine to keep state small.
@@ -96,7 +119,7 @@ def unpaid_orders_job(changes: DataFrame, target: str, checkpoint: str, *, withi
     order = F.to_json(F.struct(*[n for n, _ in schemas.ORDER]))
     found = timeouts.followed_by_or_timeout(
         rows, "orderId", "_changed", "logfileOffset", patterns.order_created(), patterns.order_paid(),
-        within, delay=delay, slice_seconds=slice_seconds, payload=order)
+        within, delay=delay, slice_seconds=slice_seconds, buckets=buckets, payload=order)
     late = found.filter(F.col("outcome") == "timeout").select(F.col("payload").alias("value"))
     return sinks.write_values(late, target, checkpoint, **kw)
 
@@ -128,7 +151,8 @@ def visitors_job(visits: DataFrame, path: str, checkpoint: str, *, ts: str = "ts
         days = batch.groupBy(times.day_key(F.col("_day")).alias("day")).agg(
             F.sum("_n").alias("pv"), F.count_distinct("guid").alias("uv"),
             F.count_distinct("ip").alias("ip"))
-        days.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        if not batch.isEmpty():
+            days.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return sinks.each_batch(visitor_pairs(visits, ts=ts, delay=delay), write, checkpoint, once=once)
 

@@ -113,11 +113,13 @@ def sync_dimensions(changes: DataFrame, path: str, checkpoint: str, *,
     """Keep all dimension tables up to date from the change feed, one pass over the feed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
-        for table, (key, fields) in schemas.DIMENSIONS.items():
-            rows = changefeed.of_table(held, table).select(
-                "eventType", *changefeed.CHANGE_ORDER, *changefeed.typed(fields))
-            append_changes(rows, batch_id, f"{path}/{table}", [key], list(changefeed.CHANGE_ORDER))
-        held.unpersist()
+        try:
+            for table, (key, fields) in schemas.DIMENSIONS.items():
+                rows = changefeed.of_table(held, table).select(
+                    "eventType", *changefeed.CHANGE_ORDER, *changefeed.typed(fields))
+                append_changes(rows, batch_id, f"{path}/{table}", [key], list(changefeed.CHANGE_ORDER))
+        finally:
+            held.unpersist()
 
     return each_batch(changefeed.of_tables(changes), write, checkpoint, once=once)
 

@@ -20,6 +20,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tradewind.operators import patterns
 
+BUCKETS = 1024
+
 # Travels with the job: executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -66,16 +68,15 @@ def _sliced(df: DataFrame, within: float, slice_seconds: float | None) -> DataFr
 
 def followed_by_or_timeout(df: DataFrame, key: str, ts: str, tie: str, first: Column,
                            second: Column, within: float, *, delay: str = "0 seconds",
-                           slice_seconds: float | None = None, buckets: int | None = None,
+                           slice_seconds: float | None = None, buckets: int = BUCKETS,
                            payload: Column | None = None) -> DataFrame:
     """Rows (key, ts, tie, outcome, paid_ts), each emitted once the watermark settles it.
 
     `payload` is a text of the first event that is carried along and comes out as a column.
 
-    `tie` must be a whole number; times are kept to the microsecond. `buckets` (by default four
-    per shuffle partition) must stay the same for the life of a checkpoint.
+    `tie` must be a whole number; times are kept to the microsecond. `buckets` must stay the same for the
+    life of a checkpoint, so it follows no setting of the session.
     """
-    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = int(round(within * 1_000_000))
     timed = df.withColumn("_at", F.col(ts).cast("timestamp")).withWatermark("_at", delay)
     flagged = timed.select(key, "_at", F.col(tie).cast("bigint").alias("_tie"),
