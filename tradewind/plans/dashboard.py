@@ -114,3 +114,35 @@ def dashboard(dws: DataFrame, areas: DataFrame, visitors: DataFrame, funnel: Dat
                  F.transform(top4, lambda r: r["v"]).alias("value")).alias("top4sale"),
         F.transform(named(ranked("areaOrders")), lambda r: F.array(pair(r))).alias("chinaMap"),
     )).alias("document"))
+
+
+_PAIR = "struct<name:string,value:string>"
+_SERIES = "xAxis:array<string>,data:array<string>"
+_DOCUMENT = (
+    f"visitor array<{_PAIR}>, convert array<{_PAIR}>, weekSale struct<xAxis:array<string>,week:array<string>,month:array<string>>, "
+    f"orderNum struct<mouthOrderNum:string,weekOrderNum:string,dayOrderNum:string,data:array<array<{_PAIR}>>>, "
+    f"sales struct<monthSale:string,daySale:string,{_SERIES}>, top8orderNum array<{_PAIR}>, weekOrderFinish struct<{_SERIES}>, "
+    f"top4sale struct<area:array<string>,value:array<string>>, chinaMap array<array<{_PAIR}>>")
+
+
+def entries(document: DataFrame) -> DataFrame:
+    """The document taken apart again: (panel, position, name, value), one row per entry of each panel."""
+    d = document.select(F.from_json("document", _DOCUMENT).alias("d")).select("d.*")
+    series = lambda names, values: F.zip_with(names, values, lambda n, v: F.struct(n.alias("name"), v.alias("value")))
+    one = lambda name, c: F.struct(F.lit(name).alias("name"), F.col(c).alias("value"))
+    panels = {
+        "visitor": F.col("visitor"), "convert": F.col("convert"),
+        "weekSale.week": series(F.col("weekSale.xAxis"), F.col("weekSale.week")),
+        "weekSale.month": series(F.col("weekSale.xAxis"), F.col("weekSale.month")),
+        "orderNum": F.array(*[one(n, f"orderNum.{n}") for n in ("mouthOrderNum", "weekOrderNum", "dayOrderNum")]),
+        "orderNum.data": F.flatten("orderNum.data"),
+        "sales": F.array(*[one(n, f"sales.{n}") for n in ("monthSale", "daySale")]),
+        "sales.data": series(F.col("sales.xAxis"), F.col("sales.data")),
+        "top8orderNum": F.col("top8orderNum"),
+        "weekOrderFinish": series(F.col("weekOrderFinish.xAxis"), F.col("weekOrderFinish.data")),
+        "top4sale": series(F.col("top4sale.area"), F.col("top4sale.value")),
+        "chinaMap": F.flatten("chinaMap"),
+    }
+    rows = d.select(F.explode(F.array(*[F.struct(F.lit(n).alias("panel"), e.alias("e")) for n, e in panels.items()])).alias("p"))
+    return rows.select("p.panel", F.posexplode("p.e").alias("position", "e")).select(
+        "panel", "position", "e.name", F.col("e.value").cast("double").alias("value"))

@@ -104,6 +104,7 @@ LINES = """lines AS (SELECT l_orderkey * 10 + l_linenumber AS ogId, l_orderkey A
 
 # ---- sources, change feed ---------------------------------------------------------------
 
+sql("t8_once_each", "SELECT logfileOffset, eventType, ogId, orderId, goodsId, goodsNum, goodsPrice FROM lines", LINES)
 sql("s4_log_flatten", """SELECT 'log.000001' AS logfileName, orderId AS logfileOffset, executeTime, 'shop' AS schemaName,
   'order_goods' AS tableName, eventType, CAST(ogId + shift AS VARCHAR) AS ogId, CAST(goodsId AS VARCHAR) AS goodsId,
   CASE WHEN eventType = 'delete' THEN 'before' ELSE 'after' END AS image
@@ -338,6 +339,29 @@ sql("a25_dashboard_fields", f"""SELECT
   (SELECT name FROM {_TOP('sales', 4)} ORDER BY sales DESC, areaId LIMIT 1) AS best_area,
   {_TXT(f"(SELECT orders FROM {_TOP('orders', 8)} ORDER BY orders DESC, areaId LIMIT 1)")} AS most_orders""",
     DWS_E, AREAS, _BY_AREA, VISITS, _FUNNEL)
+_ENTRY = lambda panel, pos, name, value: f"SELECT '{panel}' AS panel, CAST({pos} AS INTEGER) AS position, {name} AS name, CAST({value} AS DOUBLE) AS value "
+_SEEN = lambda agg: f"(SELECT {agg} FROM visits WHERE CAST(ts AS DATE) = DATE '2024-01-30')"
+_DAYS = lambda panel, value, where, day: _ENTRY(panel, "pos", weekday("spine.d"), f"coalesce(t.{value}, 0)") + (
+    f"FROM spine LEFT JOIN {_PER_DAY(where)} t ON t.d = spine.{day}")
+_RANKED = lambda by: f"(SELECT *, row_number() OVER (ORDER BY {by} DESC, areaId) AS r FROM by_area LEFT JOIN areas ON id = areaId)"
+_NAMED = lambda panel, by, top: _ENTRY(panel, "row_number() OVER (ORDER BY r) - 1", "name", f"trunc({by})") + (
+    f"FROM {_RANKED(by)} WHERE name IS NOT NULL AND r <= {top}")
+sql("a25_dashboard", " UNION ALL ".join([
+    *[_ENTRY("visitor", i, f"'{n}'", _SEEN(a)) for i, (n, a) in enumerate(
+        {"PV": "count(*)", "UV": "count(DISTINCT guid)", "总访客数": "count(DISTINCT ip)"}.items())],
+    *[_ENTRY("convert", i, f"'{n}'", f'(SELECT "{c}" FROM f)') for i, (n, c) in enumerate(
+        {"浏览": "browse", "加购物车": "cart", "下单": "order", "付款": "pay"}.items())],
+    _DAYS("weekSale.week", "s", recent(EV, "6 DAY"), "d"), _DAYS("weekSale.month", "s", _LASTWEEK, "e"),
+    *[_ENTRY("orderNum", i, f"'{n}'", _ONE("count(*)", recent(EV, t))) for i, (n, t) in enumerate(
+        {"mouthOrderNum": "30 DAY", "weekOrderNum": "7 DAY", "dayOrderNum": "1 DAY"}.items())],
+    _ENTRY("orderNum.data", "r - 1", "name", "CASE WHEN name IS NOT NULL THEN orders END") + f"FROM {_RANKED('orders')}",
+    *[_ENTRY("sales", i, f"'{n}'", _ONE(_WHOLE, recent(EV, t))) for i, (n, t) in enumerate(
+        {"monthSale": "1 MONTH", "daySale": "1 DAY"}.items())],
+    _ENTRY("sales.data", "i", "CAST(i AS VARCHAR)", "coalesce(s, 0)") + f"""FROM generate_series(0, 23) g(i) LEFT JOIN
+      (SELECT hour("__time") AS h, {money('totalMoney')} AS s FROM dws WHERE {recent(EV, '1 HOUR')} GROUP BY 1) ON h = i""",
+    _NAMED("top8orderNum", "orders", 8), _DAYS("weekOrderFinish", "n", recent(EV, "7 DAY"), "d"),
+    _NAMED("top4sale", "sales", 4), _NAMED("chinaMap", "orders", 1 << 30)]),
+    DWS_E, AREAS, _BY_AREA, VISITS, _FUNNEL, _SPINE)
 sql("a26_orders_per_customer", """SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position,
   o_orderkey AS value, count(*) OVER (PARTITION BY o_custkey) AS length FROM orders""")
 sql("o3_latest_goods", "SELECT goodsId, goodsName FROM goods ORDER BY goodsId DESC LIMIT 10", GOODS)
@@ -352,6 +376,8 @@ _LOG = f"""event_id, guid AS uid, ip, {_LOGTIME} || ' +0000' AS requestTime, 'GE
   'Mozilla/5.0 (agent ' || user_id || ')' AS userAgent, 'www.shop-' || user_id || '.cn' AS referDomain,
   strftime(ts, {DT}) AS requestDateTime"""
 sql("x1_log_fields", f"SELECT {_LOG} FROM visits", VISITS)
+sql("x1_extended_fields", f"""SELECT {_LOG}, 'session=' || event_id AS cookie, '10.0.0.' || (event_id % 250) AS address
+  FROM visits""", VISITS)
 sql("click_log_wide", f"SELECT {_LOG}, {province('country')} AS province, {city('country')} AS city FROM placed",
     VISITS, RANGES, PLACED)
 sql("x2_log_time", f"""SELECT event_id, CASE WHEN event_type = 'error' THEN NULL

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tradewind import schemas, session
 from tradewind.functions import geo, text, times, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, metrics, patterns, widen
-from tradewind.plans.dashboard import dashboard
+from tradewind.plans.dashboard import dashboard, entries
 from tradewind.sources import streams, tables
 from tradewind.streaming import jobs, sinks, timeouts
 
@@ -87,6 +87,20 @@ def k4_line_job(spark, root):
     return rows.drop(*changefeed.CHANGE_ORDER, "eventType")
 
 
+@query
+def t8_once_each(spark, root):
+    """A feed in which every third change comes twice, read as a stream: each change once."""
+    out = session.scratch_dir(spark, "t8")
+    feed = tables.line_changes(spark, root, tables.stream(spark, root, "lineitem"))
+    again = feed.withColumn("_n", F.explode(F.when(F.col("logfileOffset") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+        F.array(F.lit(0))))).drop("_n")
+    rows = jobs.once_each(again, jobs.ANY_ORDER).select(
+        "logfileOffset", "eventType", *changefeed.typed(schemas.ORDER_LINE))
+    (rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
+     .trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(rows.schema).parquet(f"{out}/rows")
+
+
 @query
 def k1_order_json_job(spark, root):
     """The streaming order job, run to the end of the table: fields of its JSON records."""
@@ -459,7 +473,8 @@ def _document(spark, root):
 
 @query
 def a25_dashboard(spark, root):
-    return _document(spark, root)
+    """Every entry of every panel of the document."""
+    return entries(_document(spark, root))
 
 
 @query
@@ -495,6 +510,14 @@ def x1_log_fields(spark, root):
     return weblog.parse(tables.log_lines(spark, root), keep=["event_id"])
 
 
+@query
+def x1_extended_fields(spark, root):
+    """The same lines with the request cookie and the caller's address at the end."""
+    lines = tables.log_lines(spark, root).withColumn("value", F.concat(
+        "value", F.lit(' "session='), "event_id", F.lit('" "10.0.0.'), F.col("event_id") % 250, F.lit('"')))
+    return weblog.parse(lines, extended=True, keep=["event_id"])
+
+
 @query
 def click_log_wide(spark, root):
     """Log text to placed visits: parse, address lookup, region split, time."""

@@ -55,15 +55,19 @@ def once_each(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
         ["logfileName", "logfileOffset", "tableName", "eventType", "_row"]).drop("_row", "_at")
 
 
-def orders_job(changes: DataFrame, target: str, checkpoint: str, **kw) -> StreamingQuery:
-    """New orders as JSON."""
-    new = changefeed.inserts(changefeed.of_table(changes, "orders"))
+def _delivered(changes: DataFrame, redelivery: str | None) -> DataFrame:
+    return changes if redelivery is None else once_each(changes, redelivery)
+
+
+def orders_job(changes: DataFrame, target: str, checkpoint: str, *, redelivery: str | None = None, **kw) -> StreamingQuery:
+    """New orders as JSON. `redelivery` is the time within which a change delivered again is dropped."""
+    new = changefeed.inserts(changefeed.of_table(_delivered(changes, redelivery), "orders"))
     return sinks.write_json(changefeed.orders(new), target, checkpoint, **kw)
 
 
 def order_lines_job(changes: DataFrame, dimensions: Callable[[], Dimensions], target: str,
                     table: str, checkpoint: str, *, fmt: str = "kafka", once: bool = False,
-                    on_missing: str = "default", **options) -> StreamingQuery:
+                    on_missing: str = "default", redelivery: str | None = None, **options) -> StreamingQuery:
     """Widened order lines to two places: new lines as JSON, all changes to the latest rows.
 
     `dimensions` is called per micro-batch, so a dimension change is seen by the next batch.
@@ -79,7 +83,7 @@ def order_lines_job(changes: DataFrame, dimensions: Callable[[], Dimensions], ta
         finally:
             wide.unpersist()
 
-    return sinks.each_batch(changefeed.of_table(changes, "order_goods"), write, checkpoint, once=once)
+    return sinks.each_batch(changefeed.of_table(_delivered(changes, redelivery), "order_goods"), write, checkpoint, once=once)
 
 
 def goods_job(changes, dimensions: Callable[[], Dimensions], target, checkpoint, **kw):
