@@ -167,6 +167,12 @@ def test_pattern_moves_rows_once(spark, root):
     assert "partial_min_by" in plan
 
 
+def test_only_steps_of_a_pattern_leave_the_scan(spark, root):
+    plan = plan_of(QUERIES["c3_paid_or_timeout"](spark, root)).split("== Physical Plan ==")[1]
+    assert plan.count("Filter") and all("click" in f for f in re.findall(r"Filter (.*)", plan) if "event_type" in f)
+    assert re.search(r"Filter .*event_type.*click", plan)
+
+
 def test_refunds_and_updates_without_broadcast(spark, monkeypatch):
     lines = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 10), (4, 9)], "orderId bigint, goodsId bigint")
     orders = spark.createDataFrame([(1, 10), (2, 3), (3, 11), (4, 11)], "orderId bigint, orderStatus int")

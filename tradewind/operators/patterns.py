@@ -76,6 +76,12 @@ def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step]
     With `timeouts`, first events without a match are kept too: `matched` tells them apart, and
     their later steps are null.
     """
+    if all(s.follows == LATER for s in steps[1:]):
+        # Only "next" cares about events that are no step; without it they need not move at all.
+        fits = F.lit(False)
+        for s in steps:
+            fits = fits | F.coalesce(s.where, F.lit(False))
+        df = df.filter(fits)
     flags = [f"_w{i}" for i in range(len(steps))]
     fields = list(dict.fromkeys([*keep, ts]))
     rows = _in_slices(
