@@ -205,6 +205,21 @@ def test_change_stream_from_files(spark, root, tmp_path):
     assert got.count() == feed.count()
 
 
+def test_tables_of_latest_rows_stay_few_folders(spark, tmp_path):
+    path, want = f"{tmp_path}/t", {}
+    for i in range(17):
+        rows = [(i % 5, i, "insert" if i % 7 else "delete", f"v{i}"), (100 + i, i, "insert", "x")]
+        want |= {k: v for k, _, e, v in rows}
+        for k, _, e, _ in rows:
+            if e == "delete":
+                want.pop(k)
+        frame = spark.createDataFrame(rows, "k int, at bigint, eventType string, v string").coalesce(1)
+        sinks.append_changes(frame, i, path, ["k"], ["at"], reduce_every=4)
+        got = {r.k: r.v for r in sinks.read_latest(spark, path, ["k"], ["at"]).collect()}
+        assert got == want
+    assert len(os.listdir(f"{path}/changes")) <= 2 * 4 and len(os.listdir(f"{path}/reduced")) <= 2
+
+
 STREAMED = ["k1_order_json_job", "k4_line_job", "a0_rollup_stream", "a1_visitors_stream", "t4_paid_or_timeout_stream", "c4_unpaid_orders_job"]
 
 

@@ -55,23 +55,40 @@ def each_batch(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoin
 # older batches have been reduced to one row per key. Writing costs the batch alone, whatever
 # the table's size; readers reduce what lies above the newest reduced folder.
 
-def append_changes(batch: DataFrame, batch_id: int, path: str, key: list[str],
-                   order: list[str], *, event: str = "eventType") -> None:
-    """Keep a micro-batch's last change per key, deletes included."""
+REDUCE_EVERY = 100
+
+
+def append_changes(batch: DataFrame, batch_id: int, path: str, key: list[str], order: list[str], *,
+                   event: str = "eventType", reduce_every: int = REDUCE_EVERY) -> None:
+    """Keep a micro-batch's last change per key, deletes included. Every `reduce_every` batches all are folded
+    into one folder, so a reader has that many folders and one to read."""
     values = [c for c in batch.columns if c not in (*key, *order, event)]
     last = changefeed.latest(batch, key, order, values, event=event, with_deleted=True)
     last.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+    if (batch_id + 1) % reduce_every == 0:
+        spark = batch.sparkSession
+        reduce_changes(spark, path, key, order, event=event)
+        _drop_folded(spark, path)
 
 
 def _finished(spark: SparkSession, path: str, name: str) -> list[int]:
-    """Numbers N of the finished sub-folders `name=N`."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path
-    root = folder(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return []
-    found = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().startswith(f"{name}=")]
-    return sorted(int(p.getName().split("=")[1]) for p in found if fs.exists(folder(p, "_SUCCESS")))
+    """Numbers N of the finished sub-folders `name=N`, by one listing."""
+    marks = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}=*/_SUCCESS")
+    found = marks.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(marks)
+    return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found or [])
+
+
+def _drop_folded(spark: SparkSession, path: str) -> None:
+    """Remove what is folded into the last but one reduced folder. That one and what lies above it stay,
+    for readers that listed the folders before the last reduction."""
+    reduced = _finished(spark, f"{path}/reduced", "upto")
+    if len(reduced) < 2:
+        return
+    old = [f"{path}/reduced/upto={n}" for n in reduced[:-2]] + [
+        f"{path}/changes/batch_id={n}" for n in _finished(spark, f"{path}/changes", "batch_id") if n <= reduced[-2]]
+    for folder in old:
+        at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def _merged(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
