@@ -9,9 +9,13 @@ within the distance shares a key.
 
 Copies are folded into classes first. Then pairs are found without listing a group's pairs:
 1. in each key all others meet its smallest member; links that the full sets confirm give components;
-2. only keys that still hold several components are joined with themselves, across components,
-   within the distance; confirmed links join the components.
-Every pair within the distance is therefore either confirmed or already in one component.
+2. in keys that still hold several components, one member of each meets one of another, drawn by
+   hash, for a few rounds: this joins large components of one group at the cost of one pair a key;
+3. texts that still have a neighbour within the distance in another component are joined by their rare
+   shingles: two sets that are alike enough share one of the first (1 - similarity) n + 1 shingles
+   in any one order, early enough in both; shingles held by few components come first, so texts that
+   nothing links meet next to nobody.
+Every pair within the distance is therefore confirmed, refuted by its sets, or already in one component.
 """
 
 from __future__ import annotations
@@ -22,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewind.llm import wordhash
@@ -29,6 +34,7 @@ from tradewind.llm.common import durable
 
 SYMBOLS, RADIUS, CHUNKS = 64, 21, 11
 SHINGLE, ALIKE, OF = 3, 85, 100
+ROUNDS = 1  # of step 2; more change no result
 SIG = [f"s{i}" for i in range(SYMBOLS // 8)]
 _rng = np.random.Generator(np.random.PCG64(77))
 _A = _rng.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -117,11 +123,8 @@ def distance(a: str, b: str) -> Column:
     return total
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, alike: int, of: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike enough."""
-    pairs = durable(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-
+def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """(id, set) of the texts with these ids."""
     def run(batches):
         for batch in batches:
             for first, sets in _sets(batch.column(1), shingle):
@@ -131,14 +134,23 @@ def confirmed(pairs: DataFrame, docs: DataFrame, shingle: int, alike: int, of: i
                     [batch.column(0).slice(first, len(sets)),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], names=["id", "set"])
 
-    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    sets = durable(asked.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
+        ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    return durable(asked.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, alike: int, of: int) -> DataFrame:
+    """The pairs (a, b) whose whole sets are alike enough."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.where(of * shared >= alike * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every end of an edge: smallest reachable id, by label spreading with shortcuts."""
     both = durable(edges.select("a", "b").union(edges.select("b", "a")).distinct(), "edges")
@@ -155,7 +167,17 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int = OF) -> DataFrame:
+def _merged(owned: DataFrame, links: DataFrame) -> DataFrame:
+    """`owned` (id, component, ...) after links (a, b) between ids."""
+    at = lambda end: owned.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    between = links.join(at("a"), "a").join(at("b"), "b").where(F.col("ca") != F.col("cb")).select(
+        F.col("ca").alias("a"), F.col("cb").alias("b"))
+    joined = components(between).select(F.col("id").alias("component"), F.col("component").alias("_to"))
+    return durable(owned.join(joined, "component", "left").withColumn("component", F.coalesce("_to", "component")).select(
+        *owned.columns), "owned")
+
+
+def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int = OF, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text).
 
     A-Z count as a-z. A text with fewer words than a shingle is one shingle; null, empty and blank
@@ -166,35 +188,58 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     classes = durable(marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull()).groupBy("d0", "d1").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]), "classes")
     sigs = classes.select("id", "n", *SIG)
+    similar_size = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n"))
+    close = similar_size & (distance("x", "y") <= RADIUS)
+
+    def near(pairs: DataFrame) -> DataFrame:
+        return durable(pairs.join(sigs.alias("x"), F.col("a") == F.col("x.id")).join(
+            sigs.alias("y"), (F.col("b") == F.col("y.id")) & close).select("a", "b").distinct(), "pairs")
+
+    def links(pairs: DataFrame) -> DataFrame:
+        return durable(confirmed(pairs, sets_of(docs, _ends(pairs), shingle), alike, of), "links")
 
     keys = chunk_keys(sigs)
-    heads = keys.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("_n")).where(F.col("_n") > 1)
-    met = keys.join(heads, "key").where(F.col("id") != F.col("head")).select("head", "id").distinct()
-    x, y = sigs.alias("x"), sigs.alias("y")
-    similar_size = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n"))
-    near = met.join(x, F.col("head") == F.col("x.id")).join(
-        y, (met["id"] == F.col("y.id")) & similar_size & (distance("x", "y") <= RADIUS)).select(
-        F.col("head").alias("a"), met["id"].alias("b")).distinct()
-    first = durable(components(confirmed(near, docs, shingle, alike, of)), "components")
-
-    owned = sigs.join(first, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = keys.join(first, "id", "left").groupBy("key").agg(
-        F.min(F.coalesce("component", "id")).alias("_lo"), F.max(F.coalesce("component", "id")).alias("_hi")).where(
+    heads = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("_n")).where(F.col("_n") > 1)
+    shared = durable(keys.join(heads.select("key", "a"), "key"), "shared-keys")
+    met = shared.where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
+    owned = _merged(durable(sigs.select("id", F.col("id").alias("component")), "owned"), links(near(met)))
+
+    open_ = shared.select("key", "id")
+    for turn in range(rounds):
+        placed = open_.join(owned, "id")
+        several = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"),
+                                            F.min_by("component", F.xxhash64("id", F.lit(turn))).alias("ca"),
+                                            F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("a")).where(F.col("_lo") < F.col("_hi"))
+        open_ = durable(placed.join(several.select("key", "ca", "a"), "key"), "open-keys")
+        one = open_.where(F.col("component") != F.col("ca")).groupBy("key", "a", "component").agg(
+            F.min_by("id", F.xxhash64("id", "key", F.lit(turn))).alias("b"))
+        owned = _merged(owned, links(near(one.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())))
+        open_ = open_.select("key", "id")
+
+    placed = open_.join(owned, "id")
+    several = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(
         F.col("_lo") < F.col("_hi")).select("key")
-    open_keys = durable(chunk_keys(owned, ("n", "component", *SIG)).join(mixed, "key", "left_semi"), "open-keys")
-    x, y = open_keys.alias("x"), open_keys.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                    & similar_size & (distance("x", "y") <= RADIUS)).select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    links = confirmed(across, docs, shingle, alike, of)
-    of_id = lambda end, name: first.select(F.col("id").alias(end), F.col("component").alias(name))
-    joined = links.join(of_id("a", "ca"), "a", "left").join(of_id("b", "cb"), "b", "left").select(
-        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where(F.col("a") != F.col("b"))
-    second = components(joined).select(F.col("id").alias("component"), F.col("component").alias("final"))
-
-    final = classes.select("d0", "d1", "id").join(first, "id", "left").withColumn(
-        "component", F.coalesce("component", "id")).join(second, "component", "left").select(
-        "d0", "d1", F.coalesce("final", "component").alias("component_id"))
+    signed = placed.join(several, "key", "left_semi").join(sigs, "id")
+    x, y = signed.alias("x"), signed.alias("y")
+    waiting = durable(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & close,
+                             "left_semi").select("id", "component", "n", *SIG).distinct(), "waiting")
+    sets = sets_of(docs, waiting.select("id"), shingle)
+    tokens = waiting.select("id", "component").join(sets, "id").select("id", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
+    spread = tokens.groupBy("token").agg(F.count_distinct("component").alias("held"))
+    first = F.row_number().over(W.partitionBy("id").orderBy("held", "token"))
+    prefix = tokens.join(spread, "token").withColumn("_at", first).where(
+        (F.col("_at") <= F.col("n") - F.ceil(F.col("n") * alike / of) + 1) & (F.col("held") > 1)).select("id", "token", F.col("_at").alias("at"))
+    rare = durable(prefix.join(waiting, "id"), "rare-shingles")
+    x, y = rare.alias("x"), rare.alias("y")
+    # The first shared shingle bounds the overlap: what comes before it in either order is not shared.
+    enough = (of + alike) * (1 + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))) >= alike * (
+        F.col("x.n") + F.col("y.n"))
+    across = durable(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
+                            & enough & close).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
+    owned = _merged(owned, durable(confirmed(across, sets, alike, of), "links"))
+
+    final = classes.select("d0", "d1", "id").join(owned, "id").select("d0", "d1", F.col("component").alias("component_id"))
     return marked.select("doc_id", "n_shingles", "d0", "d1").join(final, ["d0", "d1"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.col("component_id").isNull()).alias("kept"))
