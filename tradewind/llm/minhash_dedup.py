@@ -35,6 +35,7 @@ from tradewind.llm.common import durable
 SYMBOLS, RADIUS, CHUNKS = 64, 21, 11
 SHINGLE, ALIKE, OF = 3, 85, 100
 ROUNDS = 1  # of step 2; more change no result
+BROADCAST_IDS = 2_000_000  # 16 bytes each; more ids meet their texts by a shuffle
 SIG = [f"s{i}" for i in range(SYMBOLS // 8)]
 _rng = np.random.Generator(np.random.PCG64(77))
 _A = _rng.integers(0, 1 << 31, SYMBOLS, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -134,8 +135,10 @@ def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                     [batch.column(0).slice(first, len(sets)),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], names=["id", "set"])
 
-    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(
-        ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+    wanted = ids.select(F.col("id").alias("doc_id"))
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
     return durable(asked.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
 
 
@@ -195,8 +198,17 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
         return durable(pairs.join(sigs.alias("x"), F.col("a") == F.col("x.id")).join(
             sigs.alias("y"), (F.col("b") == F.col("y.id")) & close).select("a", "b").distinct(), "pairs")
 
+    sets: DataFrame | None = None
+
+    def known(ids: DataFrame) -> DataFrame:
+        """Sets of at least these ids; each text is read for it once."""
+        nonlocal sets
+        new = sets_of(docs, ids if sets is None else ids.join(sets, "id", "left_anti"), shingle)
+        sets = new if sets is None else sets.unionByName(new)
+        return sets
+
     def links(pairs: DataFrame) -> DataFrame:
-        return durable(confirmed(pairs, sets_of(docs, _ends(pairs), shingle), alike, of), "links")
+        return durable(confirmed(pairs, known(_ends(pairs)), alike, of), "links")
 
     keys = chunk_keys(sigs)
     heads = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("_n")).where(F.col("_n") > 1)
@@ -223,8 +235,7 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     x, y = signed.alias("x"), signed.alias("y")
     waiting = durable(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & close,
                              "left_semi").select("id", "component", "n", *SIG).distinct(), "waiting")
-    sets = sets_of(docs, waiting.select("id"), shingle)
-    tokens = waiting.select("id", "component").join(sets, "id").select("id", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
+    tokens = waiting.select("id", "component").join(known(waiting.select("id")), "id").select("id", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
     spread = tokens.groupBy("token").agg(F.count_distinct("component").alias("held"))
     first = F.row_number().over(W.partitionBy("id").orderBy("held", "token"))
     prefix = tokens.join(spread, "token").withColumn("_at", first).where(
