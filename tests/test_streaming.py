@@ -234,7 +234,8 @@ def test_streams_read_folders_of_parts(spark, root, tmp_path, name):
             spark.read.parquet(source).repartition(10).write.parquet(f"{tmp_path}/{table}")
         else:
             os.symlink(source, f"{tmp_path}/{table}")
-    assert values(QUERIES[name](spark, str(tmp_path))) == values(QUERIES[name](spark, root))
+    got = values(QUERIES[name](spark, str(tmp_path)))
+    assert got and got == values(QUERIES[name](spark, root))
 
 
 def test_streams_of_missing_tables_fail(spark, root):

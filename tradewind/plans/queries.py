@@ -724,7 +724,7 @@ def c4_unpaid_orders_job(spark, root):
     past = F.unix_millis(F.lit(jobs.END_OF_TIME).cast("timestamp"))
     _to_the_end(lambda: jobs.unpaid_orders_job(end.after(feed), f"{out}/json", f"{out}/checkpoint", delay=jobs.ANY_ORDER,
                                                buckets=32, fmt="parquet", once=True),
-                end, executeTime=past, tableName="orders", eventType="end")
+                end, executeTime=past, tableName="orders", eventType="end", columns=F.create_map(F.lit("end"), F.lit("")))
     made = spark.read.schema("value string").parquet(f"{out}/json").select(
         F.from_json("value", schemas.ddl(schemas.ORDER)).alias("o"))
     return made.select("o.orderId", "o.userId", "o.totalMoney", "o.isPay")
