@@ -32,7 +32,7 @@ def sizes(docs: DataFrame) -> DataFrame:
         for frame in frames:
             import pyarrow as pa
 
-            n = [np.bincount(b.doc, minlength=b.n) for b in wordhash.blocks(pa.array(frame["text"], pa.string()), 1 << 22)
+            n = [np.bincount(b.doc, minlength=b.n) for b in wordhash.blocks(pa.array(frame["text"], pa.string()))
                  if b.words() is None]
             frame["size"] = np.concatenate(n) if n else np.zeros(0, np.int64)
             yield frame[["doc_id", "_row", "source", "size"]]

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18  # a worker holds some 200 bytes for each
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C13 | 3  # odd, so that powers can be undone
 _rng = np.random.Generator(np.random.PCG64(20240607))
@@ -21,7 +21,7 @@ _powers = [np.ones(1, _U), np.ones(1, _U)]
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, BLOCK_BYTES + (1 << 17))
+        size = max(n, 2 * BLOCK_BYTES)
         for k, base in enumerate((_BASE % 2**64, pow(_BASE, -1, 2**64))):
             steps = np.full(size, base, _U)
             steps[0] = 1
