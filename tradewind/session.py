@@ -17,6 +17,8 @@ _RUNTIME = {
     # Wide records compile to methods the JVM never optimises (above 8000 bytes of bytecode
     # it interprets them, several times slower); with this limit Spark splits them instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Whole texts travel to Python workers; ten thousand of them in one batch can be a lot.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
