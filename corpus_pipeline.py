@@ -21,10 +21,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_gam.accepted(docs, model)
 
 
+#: (shingle, alike, of): texts that either rule links are near duplicates, that of stages on word shingles or that of op1.
+NEAR = ((5, 80, 100), (minhash_dedup.SHINGLE, minhash_dedup.ALIKE, minhash_dedup.OF))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     session.ensure(spark)
-    return minhash_dedup.deduplicated(docs)
+    return minhash_dedup.deduplicated(docs, NEAR)
 
 
 def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

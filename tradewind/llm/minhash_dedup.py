@@ -5,7 +5,7 @@ two texts differ in about 64 (1 - similarity) symbols. Links of similarity 0.85
 distance of 22 but for about one in ten thousand at that very limit. The signature is cut into 11
 chunks; a pair within distance 21 has a chunk with at most one error (pigeonhole). All one-error
 neighbours of a chunk are listed by leaving each symbol out in turn: 64 keys a text, and every pair
-within the distance shares a key.
+within the distance shares a key. Other thresholds and shingles have the distance and chunks that `reach` gives.
 
 Copies are folded into classes first. Then pairs are found without listing a group's pairs:
 1. in each key all others meet its smallest member; links that the full sets confirm give components;
@@ -21,7 +21,9 @@ Every pair within the distance is therefore confirmed, refuted by its sets, or a
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,9 @@ from pyspark.sql import functions as F
 from tradewind.llm import wordhash
 from tradewind.llm.common import durable
 
-SYMBOLS, RADIUS, CHUNKS = 64, 21, 11
+SYMBOLS = 64
 SHINGLE, ALIKE, OF = 3, 85, 100
+MISSED = 1e-4  # most of the pairs at the very limit that a distance may leave out
 ROUNDS = 1  # of step 2; more change no result
 BROADCAST_IDS = 2_000_000  # 16 bytes each; more ids meet their texts by a shuffle
 SIG = [f"s{i}" for i in range(SYMBOLS // 8)]
@@ -43,6 +46,19 @@ _B = _rng.integers(0, 1 << 32, SYMBOLS, dtype=np.uint32)
 _U = np.uint64
 
 
+def reach(alike: int, of: int) -> tuple[int, int]:
+    """(distance, chunks): the fewest chunks whose distance leaves out no more than MISSED of the pairs just alike enough."""
+    p = (1 - alike / of) * (1 - 1 / 256)
+    for chunks in range(1, SYMBOLS // 2 + 1):
+        radius = 2 * chunks - 1
+        if sum(math.comb(SYMBOLS, k) * p**k * (1 - p)**(SYMBOLS - k) for k in range(radius + 1, SYMBOLS + 1)) <= MISSED:
+            return radius, chunks
+    raise ValueError(f"{alike} of {of} is too little for signatures of {SYMBOLS} symbols")
+
+
+RADIUS, CHUNKS = reach(ALIKE, OF)
+
+
 def _sets(texts: pa.Array, shingle: int) -> Iterator[tuple[int, list[np.ndarray]]]:
     """(first row, sorted distinct shingles of each row) a block at a time."""
     for block in wordhash.blocks(texts):
@@ -87,9 +103,9 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def chunk_keys(classes: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+def chunk_keys(classes: DataFrame, carried: tuple[str, ...] = (), chunks: int = CHUNKS) -> DataFrame:
     """(key, id, carried...): 64 keys each. A key names the symbol left out and holds the others of its chunk."""
-    parts = np.array_split(np.arange(SYMBOLS), CHUNKS)
+    parts = np.array_split(np.arange(SYMBOLS), chunks)
     kinds = dict(classes.dtypes)
     schema = ", ".join(["key bigint", *[f"{c} {kinds[c]}" for c in ("id", *carried)]])
 
@@ -187,12 +203,13 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     texts have none and stay alone. Repeated rows are copies, so rows with the kept id are all
     kept. Rows without an id join the group of their copies that have one, else their component is null
     and they stay. Other columns are not looked at."""
+    radius, chunks = reach(alike, of)
     marked = durable(signatures(docs, shingle), "signatures")
     classes = durable(marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull()).groupBy("d0", "d1").agg(
         F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]), "classes")
     sigs = classes.select("id", "n", *SIG)
     similar_size = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n"))
-    close = similar_size & (distance("x", "y") <= RADIUS)
+    close = similar_size & (distance("x", "y") <= radius)
 
     def near(pairs: DataFrame) -> DataFrame:
         return durable(pairs.join(sigs.alias("x"), F.col("a") == F.col("x.id")).join(
@@ -210,7 +227,7 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     def links(pairs: DataFrame) -> DataFrame:
         return durable(confirmed(pairs, known(_ends(pairs)), alike, of), "links")
 
-    keys = chunk_keys(sigs)
+    keys = chunk_keys(sigs, chunks=chunks)
     heads = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("_n")).where(F.col("_n") > 1)
     shared = durable(keys.join(heads.select("key", "a"), "key"), "shared-keys")
     met = shared.where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
@@ -256,7 +273,14 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.col("component_id").isNull()).alias("kept"))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that stay: one document of each group."""
-    gone = groups(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id").distinct()
+def deduplicated(docs: DataFrame, rules: tuple[tuple[int, int, int], ...] = ((SHINGLE, ALIKE, OF),)) -> DataFrame:
+    """The rows of `docs` that stay: one document of each group.
+
+    `rules` are (shingle, alike, of); texts that are alike by any of them are linked, and groups are what all links join."""
+    found = [groups(docs.select("doc_id", "text"), *rule).where(~F.col("kept")) for rule in rules]
+    if len(found) == 1:
+        gone = found[0].select("doc_id").distinct()
+    else:
+        links = [f.where(F.col("doc_id").isNotNull()).select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")) for f in found]
+        gone = components(reduce(DataFrame.union, links)).where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id"))
     return docs.join(gone, "doc_id", "left_anti")
