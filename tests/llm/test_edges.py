@@ -49,6 +49,16 @@ def test_minhash(docs):
     assert kept.columns == docs.columns and kept.count() == len(DOCS) - 1
 
 
+def test_minhash_copies_without_id(spark):
+    texts = [(1, "some words of a document"), (None, "some words of a document"), (None, "Some words  of a document"), (None, "no id has this text"),
+             (None, "no id has this text"), (None, "NO id has this text"), (None, "another one alone"), (None, ""), (None, ""), (None, None), (2, None)]
+    frame = spark.createDataFrame([(i, t, str(n)) for n, (i, t) in enumerate(texts)], "doc_id long, text string, _row string")
+    for kept in (minhash_dedup.deduplicated(frame), corpus_pipeline.near_duplicates(spark, frame, "")):
+        got = [(r.doc_id, (r.text or "").lower()) for r in kept.collect()]
+        assert kept.columns == frame.columns and sorted(got, key=str) == sorted(
+            [(1, texts[0][1]), (2, ""), (None, "no id has this text"), (None, "another one alone")] + [(None, "")] * 3, key=str)
+
+
 def test_line_crf(docs, labels):
     model = line_crf.fit(docs, labels)
     got = rows(line_crf.judged(docs, model).select("doc_id", "n_words", "base_failed", "kept"))

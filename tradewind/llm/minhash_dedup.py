@@ -32,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tradewind.llm import wordhash
-from tradewind.llm.common import durable
+from tradewind.llm.common import durable, row_hash
 
 SYMBOLS = 64
 SHINGLE, ALIKE, OF = 3, 85, 100
@@ -80,8 +80,9 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles, two halves of the set's digest, and the signature in 8 longs (null for empty sets)."""
-    schema = f"doc_id bigint, n_shingles bigint, d0 bigint, d1 bigint, {', '.join(f'{s} bigint' for s in SIG)}"
+    """doc_id, _row (hash of the text), n_shingles, two halves of the set's digest, and the signature in 8 longs (null for
+    empty sets)."""
+    schema = f"doc_id bigint, _row bigint, n_shingles bigint, d0 bigint, d1 bigint, {', '.join(f'{s} bigint' for s in SIG)}"
 
     def run(batches):
         for batch in batches:
@@ -96,11 +97,12 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 empty = np.ones(len(sets), bool)
                 empty[full] = False
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
+                    [ids.slice(first, len(sets)), batch.column(2).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
                      *[pa.array(rows[:, c], pa.int64(), mask=empty) for c in range(rows.shape[1])]],
-                    names=["doc_id", "n_shingles", "d0", "d1", *SIG])
+                    names=["doc_id", "_row", "n_shingles", "d0", "d1", *SIG])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_hash(F.col("text")).alias("_row")).mapInArrow(
+        run, schema)
 
 
 def chunk_keys(classes: DataFrame, carried: tuple[str, ...] = (), chunks: int = CHUNKS) -> DataFrame:
@@ -203,6 +205,11 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     texts have none and stay alone. Repeated rows are copies, so rows with the kept id are all
     kept. Rows without an id join the group of their copies that have one, else their component is null
     and they stay. Other columns are not looked at."""
+    return _judged(docs, shingle, alike, of, rounds).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _judged(docs: DataFrame, shingle: int, alike: int, of: int, rounds: int = ROUNDS) -> DataFrame:
+    """`groups` with _row (hash of the text) and the set's digest d0, d1."""
     radius, chunks = reach(alike, of)
     marked = durable(signatures(docs, shingle), "signatures")
     classes = durable(marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull()).groupBy("d0", "d1").agg(
@@ -268,19 +275,39 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     owned = _merged(owned, durable(confirmed(across, sets, alike, of), "links"))
 
     final = classes.select("d0", "d1", "id").join(owned, "id").select("d0", "d1", F.col("component").alias("component_id"))
-    return marked.select("doc_id", "n_shingles", "d0", "d1").join(final, ["d0", "d1"], "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+    return marked.select("doc_id", "_row", "n_shingles", "d0", "d1").join(final, ["d0", "d1"], "left").select(
+        "doc_id", "_row", "d0", "d1", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.col("component_id").isNull()).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, rules: tuple[tuple[int, int, int], ...] = ((SHINGLE, ALIKE, OF),)) -> DataFrame:
     """The rows of `docs` that stay: one document of each group.
 
-    `rules` are (shingle, alike, of); texts that are alike by any of them are linked, and groups are what all links join."""
-    found = [groups(docs.select("doc_id", "text"), *rule).where(~F.col("kept")) for rule in rules]
+    `rules` are (shingle, alike, of); texts that are alike by any of them are linked, and groups are what all links join.
+    Of rows without an id, copies of a row that has one go, and one of each class of copies without any stays; blank
+    texts stay. Rows that repeat the id that is kept all stay, as in `groups`."""
+    judged = [_judged(docs.select("doc_id", "text"), *rule) for rule in rules]
+    found = [j.where(F.col("doc_id").isNotNull() & ~F.col("kept")) for j in judged]
     if len(found) == 1:
         gone = found[0].select("doc_id").distinct()
     else:
-        links = [f.where(F.col("doc_id").isNotNull()).select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")) for f in found]
+        links = [f.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")) for f in found]
         gone = components(reduce(DataFrame.union, links)).where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti")
+    bare = F.col("doc_id").isNull()
+    if not docs.where(bare).limit(1).count():
+        return docs.join(gone, "doc_id", "left_anti")
+
+    # Rows without an id are told apart by the hash of their text; the smallest of a class without any id stays.
+    copies, worded = [], None
+    for j in judged:
+        idless = durable(j.where(bare & F.col("d0").isNotNull()).select("_row", "d0", "d1", "component_id").distinct(), "idless")
+        least = idless.groupBy("d0", "d1").agg(F.min("_row").alias("_least"))
+        copies.append(idless.join(least, ["d0", "d1"]).where(
+            F.col("component_id").isNotNull() | (F.col("_row") != F.col("_least"))).select("_row"))
+        worded = idless.select("_row").distinct()  # the same under each rule
+    rows = docs.where(bare).select(row_hash(F.col("text")).alias("_row"), F.struct("*").alias("_doc"))
+    rows = rows.join(reduce(DataFrame.union, copies).distinct(), "_row", "left_anti")
+    once = rows.join(worded, "_row", "left_semi").dropDuplicates(["_row"])
+    blank = rows.join(worded, "_row", "left_anti")
+    named = docs.where(~bare).join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return named.union(once.union(blank).select("_doc.*"))
