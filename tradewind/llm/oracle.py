@@ -108,3 +108,38 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN per USING (doc_id)
 """
+
+ORACLES["op13_filter_audit"] = """
+WITH doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+same AS (SELECT text, min(doc_id) AS keeper FROM doc GROUP BY text),
+mark AS (
+  SELECT doc_id, bool_or(coalesce(quality = 1, false)) AS good, bool_or(coalesce(toxic = 1, false)) AS toxic
+  FROM labels GROUP BY doc_id),
+bad AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 2 * length(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN keeper IS NOT NULL AND (doc_id IS NULL OR doc_id > keeper) THEN 'E' ELSE '' END AS fails
+  FROM doc JOIN same USING (text) LEFT JOIN mark USING (doc_id)),
+letter AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+turn AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS o FROM letter a, letter b, letter c, letter d, letter e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+step AS (SELECT o, unnest([1, 2, 3, 4, 5]) AS step FROM turn),
+seen AS (
+  SELECT bad.*, o, step, contains(fails, o[step]) AS failing,
+         length(translate(o[1:step - 1], fails, '')) < step - 1 AS gone
+  FROM bad, step),
+tally AS (
+  SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step,
+         count(*) FILTER (WHERE NOT failing AND NOT gone) AS kept, count(*) FILTER (WHERE failing AND NOT gone) AS removed,
+         count(*) FILTER (WHERE failing AND gone) AS redundant, count(*) FILTER (WHERE fails = o[step]) AS unique_fails,
+         count(*) FILTER (WHERE failing AND NOT gone AND good) AS good_lost,
+         count(*) FILTER (WHERE failing AND NOT gone AND toxic) AS toxic_lost
+  FROM seen GROUP BY part, o, step)
+SELECT *, CAST(sum(removed) OVER (PARTITION BY part, filter_order[step]) AS BIGINT) AS shapley FROM tally
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import chat_windows, decontaminate, hash_ring, line_crf, line_store, minhash_dedup, mixing, page_diff, quality_gam, secret_index
+from tradewind.llm import chat_windows, decontaminate, filter_audit, hash_ring, line_crf, line_store, minhash_dedup, mixing, page_diff, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +113,10 @@ def op10_hash_ring_shards(spark, sf_dir):
     return hash_ring.assign(docs, tie="text_crc32", shards=40).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query
+def op13_filter_audit(spark, sf_dir):
+    """What five filters remove in each of their 120 orders, for every source."""
+    return filter_audit.audit(read(spark, sf_dir, "documents").select("doc_id", "text", "source"),
+                              read(spark, sf_dir, "labels")).drop("filter")
