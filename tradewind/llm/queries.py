@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import chat_windows, decontaminate, filter_audit, hash_ring, line_crf, line_store, minhash_dedup, mixing, page_diff, quality_gam, secret_index
+from tradewind.llm import chat_windows, decontaminate, filter_audit, hash_ring, line_crf, line_store, minhash_dedup, mixing, packing, page_diff, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,19 @@ def op10_hash_ring_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op12_concat_pack(spark, sf_dir):
+    """All documents as one line of tokens, cut into sequences of 4096: a row for each piece."""
+    return packing.pieces(read(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_file(), digest=True).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @query
 def op13_filter_audit(spark, sf_dir):
     """What five filters remove in each of their 120 orders, for every source."""
