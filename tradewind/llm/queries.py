@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import session
-from tradewind.llm import chat_windows, decontaminate, filter_audit, hash_ring, line_crf, line_store, minhash_dedup, mixing, packing, page_diff, quality_gam, secret_index
+from tradewind.llm import chat_windows, decontaminate, filter_audit, hard_negatives, hash_ring, line_crf, line_store, minhash_dedup, mixing, packing, page_diff, quality_gam, secret_index
 from tradewind.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,6 +115,14 @@ def op10_hash_ring_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query
+def op11_hard_negatives(spark, sf_dir):
+    """Ten hard negatives for each anchor and each of its five best positives."""
+    label = F.col("label").cast("bigint")
+    return hard_negatives.mine(read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"),
+                               relabel=F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
