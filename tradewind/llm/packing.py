@@ -9,6 +9,8 @@ in the last sequence.
 
 from __future__ import annotations
 
+import functools
+import os
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -23,7 +25,7 @@ from tradewind.llm import wordhash
 from tradewind.llm.common import durable, row_hash
 
 LENGTH, END = 4096, 2
-CACHED_WORDS = 500_000  # of a task; then its cache of words starts anew
+CACHED_WORDS, FRESH = 1_000_000, 30_000  # some 40 MB of a worker; then its cache of words starts anew
 JOINED = 256  # new words that are encoded at once
 MARK = "\x01"  # stands between them
 
@@ -31,7 +33,8 @@ MARK = "\x01"  # stands between them
 class WordEncoder:
     """Token ids of texts for vocabularies that drop white space: a text's ids are those of its words in their order.
 
-    A word is known by a 64-bit hash of its bytes and encoded once while the cache holds it."""
+    A word is known by a 64-bit hash of its bytes and encoded once while the cache holds it: a wrong id needs two
+    words of one hash."""
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], cached: int = CACHED_WORDS):
         self.encode, self.cached = encode, cached
@@ -40,9 +43,9 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        # What is new goes to the small table, which joins the large one when it has grown; both are sorted by key.
+        self.large = self.small = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32))  # key, begin, size
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
         """Ids of each word. Many words are one call, told apart by a mark that no word contains."""
@@ -61,44 +64,60 @@ class WordEncoder:
             out[i] = np.asarray(ids, np.uint32)
         return out
 
-    def _learn(self, block: wordhash.Block, h: np.ndarray) -> None:
-        unique, first = np.unique(h, return_index=True)
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
-            fresh = self.keys[at] != unique
-            unique, first = unique[fresh], first[fresh]
-        if not len(unique):
-            return
+    def _learn(self, block: wordhash.Block, keys: np.ndarray, first: np.ndarray) -> None:
+        """`keys` (sorted) are new; `first` are words of the block that have them."""
         raw = block.data.tobytes()
         found = self._encoded([raw[a:b].decode() for a, b in zip(block.start[first], block.end[first])])
-        size = np.array([len(x) for x in found], np.int64)
-        begin = len(self.ids) + np.cumsum(size) - size
-        keys = np.concatenate((self.keys, unique))
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.begin, self.size = np.concatenate((self.begin, begin))[order], np.concatenate((self.size, size))[order]
-        self.ids = np.concatenate((self.ids, *found))
+        size = np.array([len(x) for x in found], np.int32)
+        begin = self.used + np.cumsum(size) - size
+        total = self.used + int(size.sum())
+        if total > len(self.ids):
+            self.ids = np.concatenate((self.ids[:self.used], np.zeros(total, np.uint32)))
+        self.ids[self.used:total] = np.concatenate(found)
+        self.used = total
+        self.small = _joined(self.small, (keys, begin, size))
+        if len(self.small[0]) > FRESH:
+            self.large, self.small = _joined(self.large, self.small), (keys[:0], begin[:0], size[:0])
 
     def texts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of every text of the column; null is empty."""
         for block in wordhash.blocks(column):
             block.words()
-            h = block.hashes(fold=False)
-            if len(self.keys) > self.cached:
+            if len(self.large[0]) > self.cached:
                 self._reset()
-            self._learn(block, h)
-            at = np.searchsorted(self.keys, h)
-            begin, size = self.begin[at], self.size[at]
+            keys, first, which = np.unique(block.hashes(fold=False), return_index=True, return_inverse=True)
+            known = _found(self.large, keys) | _found(self.small, keys)
+            if not known.all():
+                self._learn(block, keys[~known], first[~known])
+            begin, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            for table in (self.large, self.small):
+                here = _found(table, keys)
+                at = np.searchsorted(table[0], keys[here])
+                begin[here], size[here] = table[1][at], table[2][at]
+            begin, size = begin[which], size[which]
             ends = np.cumsum(size)
             flat = self.ids[np.repeat(begin - (ends - size), size) + np.arange(int(size.sum()))]
-            tokens_before = np.append(0, ends)
-            cut = tokens_before[np.searchsorted(block.doc, np.arange(block.n + 1))]
+            cut = np.append(0, ends)[np.searchsorted(block.doc, np.arange(block.n + 1))]
             for i in range(block.n):
                 yield flat[cut[i]:cut[i + 1]]
 
 
+def _joined(a: tuple, b: tuple) -> tuple:
+    at = np.searchsorted(a[0], b[0])
+    return tuple(np.insert(x, at, y) for x, y in zip(a, b))
+
+
+def _found(table: tuple, keys: np.ndarray) -> np.ndarray:
+    if not len(table[0]):
+        return np.zeros(len(keys), bool)
+    return table[0][np.minimum(np.searchsorted(table[0], keys), len(table[0]) - 1)] == keys
+
+
+@functools.cache
 def tokenizer_encoder(path: str, by_words: bool = True) -> Callable[[pa.Array], Iterator[np.ndarray]]:
-    """Encodes columns of texts by a tokenizer file; `by_words` for a vocabulary that drops white space."""
+    """Encodes columns of texts by a tokenizer file; `by_words` for a vocabulary that drops white space. A worker
+    process keeps it, with its words, from task to task."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
@@ -119,9 +138,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end: int = END, by_words: bo
 
     def run(batches):
         part, before = TaskContext.get().partitionId(), 0
-        encode = None
+        encode = tokenizer_encoder(tokenizer_path, by_words)
         for batch in batches:
-            encode = encode or tokenizer_encoder(tokenizer_path, by_words)
             ids = [np.append(x, np.uint32(end)).astype("<u4") for x in encode(batch.column(1))]
             n = np.array([len(x) for x in ids], np.int64)
             yield pa.RecordBatch.from_arrays(
