@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind import schemas, session
@@ -13,7 +13,7 @@ from tradewind.functions import geo, text, times, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, metrics, patterns, widen
 from tradewind.plans.dashboard import dashboard, entries
 from tradewind.sources import streams, tables
-from tradewind.streaming import jobs, sinks, timeouts
+from tradewind.streaming import jobs, sinks, staging, timeouts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,16 +89,13 @@ def k4_line_job(spark, root):
 
 @query
 def t8_once_each(spark, root):
-    """A feed in which every third change comes twice, read as a stream: each change once."""
-    out = session.scratch_dir(spark, "t8")
-    feed = tables.line_changes(spark, root, tables.stream(spark, root, "lineitem"))
+    """A feed in which every third change comes twice, read as a stream in order: each change once."""
+    feed = tables.line_changes(spark, root)
     again = feed.withColumn("_n", F.explode(F.when(F.col("logfileOffset") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))))).drop("_n")
-    rows = jobs.once_each(again, jobs.ANY_ORDER).select(
-        "logfileOffset", "eventType", *changefeed.typed(schemas.ORDER_LINE))
-    (rows.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint")
-     .trigger(availableNow=True).start().awaitTermination())
-    return spark.read.schema(rows.schema).parquet(f"{out}/rows")
+    history = _staged(spark, again, F.col("executeTime"), "t8")
+    return _run(history, jobs.once_each(history.stream(), "1 day").select(
+        "logfileOffset", "eventType", *changefeed.typed(schemas.ORDER_LINE)))
 
 
 @query
@@ -300,26 +297,29 @@ def a0_order_rollup(spark, root):
     return metrics.order_rollup(changefeed.orders(new))
 
 
+def _staged(spark, rows: DataFrame, at: Column, purpose: str, **closing) -> staging.Staged:
+    """Rows of a table as an ordered history, closed by a row with these values."""
+    end = staging.closing_row(spark, rows.schema, **closing) if closing else None
+    return staging.Staged(rows, at, session.scratch_dir(spark, purpose), closing=end)
+
+
+def _run(history: staging.Staged, rows: DataFrame) -> DataFrame:
+    """A streaming result over the whole history."""
+    out = f"{history.folder}/out"
+    history.feed(sinks.write_rows(rows, out, f"{history.folder}/checkpoint", once=staging.AT_ONCE))
+    return rows.sparkSession.read.schema(rows.schema).parquet(out)
+
+
 @query
 def a0_rollup_stream(spark, root):
-    """The streaming roll-up run to the end of the table and closed."""
-    out = session.scratch_dir(spark, "a0")
-    feed = changefeed.orders(changefeed.inserts(tables.order_changes(spark, root, tables.stream(spark, root, "orders"))))
-    end = jobs.EndMark(spark, feed.schema, f"{out}/end")
-    rows = jobs.order_rollup(end.after(feed), jobs.ANY_ORDER)
-    _to_the_end(lambda: rows.writeStream.format("parquet").option("path", f"{out}/dws").option(
-        "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(), end, createTime=jobs.END_OF_TIME)
-    made = spark.read.schema(rows.schema).parquet(f"{out}/dws")
+    """The streaming roll-up over the history of orders, day after day."""
+    feed = changefeed.orders(changefeed.inserts(tables.order_changes(spark, root)))
+    created = times.micros(F.try_to_timestamp("createTime", F.lit(times.DATETIME)))
+    history = _staged(spark, feed, created, "a0", createTime=jobs.END_OF_TIME)
+    made = _run(history, jobs.order_rollup(history.stream()))
     return made.withColumn("__time", F.col("__time").cast("timestamp_ntz"))
 
 
-def _to_the_end(start: Callable, end: jobs.EndMark, **mark) -> None:
-    """Run a job over all its input, close the input, and run it again for what was still open."""
-    start().awaitTermination()
-    end.close(**mark)
-    start().awaitTermination()
-
-
 @query
 def a1_daily_visitors(spark, root):
     return metrics.daily_visitors(tables.visits(spark, root))
@@ -333,13 +333,12 @@ def a1_visitors_on_day(spark, root):
 
 @query
 def a1_visitors_stream(spark, root):
-    """The streaming counters run to the end of the table and closed."""
-    out = session.scratch_dir(spark, "a1")
-    v = tables.visits(spark, root, tables.stream(spark, root, "events")).select("ts", "guid", "ip")
-    end = jobs.EndMark(spark, v.schema, f"{out}/end")
-    _to_the_end(lambda: jobs.visitors_job(end.after(v), f"{out}/days", f"{out}/checkpoint", delay=jobs.ANY_ORDER, once=True),
-                end, ts=jobs.END_OF_TIME)
-    return spark.read.parquet(f"{out}/days").select("day", "pv", "uv", "ip")
+    """The streaming counters over the history of visits, range after range."""
+    v = tables.visits(spark, root).select("ts", "guid", "ip")
+    history = _staged(spark, v, times.micros(F.col("ts")), "a1", ts=jobs.END_OF_TIME)
+    out = f"{history.folder}/days"
+    history.feed(jobs.visitors_job(history.stream(), out, f"{history.folder}/checkpoint", once=staging.AT_ONCE))
+    return spark.read.parquet(out).select("day", "pv", "uv", "ip")
 
 
 def _stage():
@@ -691,19 +690,17 @@ def c3_paid_or_timeout(spark, root):
 
 @query
 def t4_paid_or_timeout_stream(spark, root):
-    """The same from a stream, run to the end of the table and closed."""
-    out = session.scratch_dir(spark, "t4")
+    """The same from a stream over the history of events."""
     t = F.col("event_type")
-    events = tables.stream(spark, root, "events")
-    end = jobs.EndMark(spark, events.schema, f"{out}/end")
+    history = _staged(spark, tables.load(spark, root, "events"), times.micros(F.col("ts")), "t4", ts=jobs.END_OF_TIME)
     rows = timeouts.followed_by_or_timeout(
-        end.after(events), "user_id", "ts", "event_id", t == "click", t == "purchase", 12 * HOUR,
-        delay=jobs.ANY_ORDER, buckets=32)
-    _to_the_end(lambda: rows.writeStream.format("parquet").option("path", f"{out}/rows").option(
-        "checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start(), end, ts=jobs.END_OF_TIME)
-    made = spark.read.schema(rows.schema).parquet(f"{out}/rows")
-    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
-    return made.select("user_id", "event_id", ntz("ts"), "outcome", ntz("paid_ts"))
+        history.stream(), "user_id", "ts", "event_id", t == "click", t == "purchase", 12 * HOUR, buckets=32)
+    made = _run(history, rows)
+    return made.select("user_id", "event_id", _ntz("ts"), "outcome", _ntz("paid_ts"))
+
+
+def _ntz(c: str) -> Column:
+    return F.col(c).cast("timestamp_ntz").alias(c)
 
 
 @query
@@ -717,14 +714,13 @@ def c4_unpaid_orders(spark, root):
 
 @query
 def c4_unpaid_orders_job(spark, root):
-    """The streaming job for unpaid orders, run to the end of the table and closed: its JSON records."""
-    out = session.scratch_dir(spark, "c4")
-    feed = tables.payment_changes(spark, root, tables.stream(spark, root, "orders"))
-    end = jobs.EndMark(spark, feed.schema, f"{out}/end")
+    """The streaming job for unpaid orders over the history of payments: its JSON records."""
     past = F.unix_millis(F.lit(jobs.END_OF_TIME).cast("timestamp"))
-    _to_the_end(lambda: jobs.unpaid_orders_job(end.after(feed), f"{out}/json", f"{out}/checkpoint", delay=jobs.ANY_ORDER,
-                                               buckets=32, fmt="parquet", once=True),
-                end, executeTime=past, tableName="orders", eventType="end", columns=F.create_map(F.lit("end"), F.lit("")))
+    history = _staged(spark, tables.payment_changes(spark, root), F.col("executeTime"), "c4", executeTime=past,
+                      tableName="orders", eventType="end", columns=F.create_map(F.lit("end"), F.lit("")))
+    out = history.folder
+    history.feed(jobs.unpaid_orders_job(history.stream(), f"{out}/json", f"{out}/checkpoint", buckets=32, fmt="parquet",
+                                        once=staging.AT_ONCE))
     made = spark.read.schema("value string").parquet(f"{out}/json").select(
         F.from_json("value", schemas.ddl(schemas.ORDER)).alias("o"))
     return made.select("o.orderId", "o.userId", "o.totalMoney", "o.isPay")

@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from tradewind import schemas
 from tradewind.functions import text, times
@@ -21,38 +20,19 @@ def event_time(df: DataFrame, ts: str, delay: str = "0 seconds") -> DataFrame:
     return df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 
-#: Time of an end mark: past every window, and still inside what Spark can add delays to.
+#: Time of the row that closes a finished input: past every window, and still inside what Spark can add delays to. A watermark
+#: only follows events, so without it the windows at the end of the data would stay open.
 END_OF_TIME = "9000-01-01 00:00:00"
-#: Delay for history read from files, whose parts come in no order of time: nothing is late before the end mark.
-ANY_ORDER = "36500 days"
-
-
-class EndMark:
-    """Closes a finished input. A watermark only follows events, so windows at the end of the data stay open; a last
-    row without key, with a time past them all, closes them. Unite the stream with `rows` before its watermark, run the job,
-    `close`, and run it again on the same checkpoint. `schema` is that of the stream at that point."""
-
-    def __init__(self, spark: SparkSession, schema: StructType, folder: str):
-        self.spark, self.schema, self.folder = spark, schema, folder
-        spark.createDataFrame([], schema).write.mode("append").parquet(folder)
-
-    def after(self, stream: DataFrame) -> DataFrame:
-        return stream.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
-
-    def close(self, **values) -> None:
-        """Writes the row: these columns, all others null."""
-        one = self.spark.range(1).select(*[
-            (values[f.name] if isinstance(values.get(f.name), Column) else F.lit(values.get(f.name))).cast(f.dataType).alias(f.name) for f in self.schema.fields])
-        one.write.mode("append").parquet(self.folder)
 
 
 def once_each(changes: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Drop changes delivered again within `delay`: a log position and row occur once."""
     timed = changes.withColumn("_at", F.timestamp_millis("executeTime")).withWatermark("_at", delay)
-    # Rows of one entry share its log position; their content tells them apart.
-    marked = timed.withColumn("_row", F.to_json("columns"))
+    # Rows of one entry share its log position; 128 bits of their content tell them apart.
+    content = F.to_json("columns")
+    marked = timed.withColumn("_row", F.xxhash64(content)).withColumn("_more", F.xxhash64(F.lit(1), content))
     return marked.dropDuplicatesWithinWatermark(
-        ["logfileName", "logfileOffset", "tableName", "eventType", "_row"]).drop("_row", "_at")
+        ["logfileName", "logfileOffset", "tableName", "eventType", "_row", "_more"]).drop("_row", "_more", "_at")
 
 
 def _delivered(changes: DataFrame, redelivery: str | None) -> DataFrame:

@@ -14,9 +14,17 @@ from tradewind.operators import changefeed
 CHECKPOINT_EVERY = "5 seconds"
 
 
-def _trigger(writer: DataStreamWriter, once: bool) -> DataStreamWriter:
-    return writer.trigger(availableNow=True) if once else writer.trigger(
-        processingTime=CHECKPOINT_EVERY)
+def _trigger(writer: DataStreamWriter, once: bool | str) -> DataStreamWriter:
+    """`once`: True ends the job behind what is there now; a text is the time between micro-batches."""
+    if once is True:
+        return writer.trigger(availableNow=True)
+    return writer.trigger(processingTime=once or CHECKPOINT_EVERY)
+
+
+def write_rows(df: DataFrame, path: str, checkpoint: str, *, once: bool | str = False) -> StreamingQuery:
+    """Rows as they are, to a folder of Parquet files."""
+    return _trigger(df.writeStream.format("parquet").outputMode("append").option("path", path).option(
+        "checkpointLocation", checkpoint), once).start()
 
 
 def write_json(df: DataFrame, target: str, checkpoint: str, **kw) -> StreamingQuery:
