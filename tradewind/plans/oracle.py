@@ -451,3 +451,7 @@ sql("c5b_heat_alerts", """SELECT rack, event_id AS first_id, nid AS second_id, n
   (SELECT *, lead(ts) OVER w AS nts, lead(event_id) OVER w AS nid, lead(average) OVER w AS navg FROM warnings
    WINDOW w AS (PARTITION BY rack ORDER BY ts, event_id))
   WHERE navg > average AND epoch_us(nts) - epoch_us(ts) < 86400000000""", _HEAT)
+
+# A stream gives what its batch form gives.
+for _name in ("c1_fail_then_success", "c2a_repeated", "c2b_repeated_same", "c5a_heat_warnings", "c5b_heat_alerts"):
+    ORACLES[f"{_name}_stream"] = ORACLES[_name]

@@ -13,7 +13,7 @@ from tradewind.functions import geo, text, times, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, metrics, patterns, widen
 from tradewind.plans.dashboard import dashboard, entries
 from tradewind.sources import streams, tables
-from tradewind.streaming import jobs, sinks, staging, timeouts
+from tradewind.streaming import jobs, sequences, sinks, staging, timeouts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -738,3 +738,46 @@ def c5a_heat_warnings(spark, root):
 @query
 def c5b_heat_alerts(spark, root):
     return patterns.heat_alerts(_warnings(spark, root), 24 * HOUR)
+
+
+def _events_in_order(spark, root, purpose: str, rows: DataFrame | None = None) -> staging.Staged:
+    rows = tables.load(spark, root, "events") if rows is None else rows
+    return _staged(spark, rows, times.micros(F.col("ts")), purpose, ts=jobs.END_OF_TIME)
+
+
+@query
+def c1_fail_then_success_stream(spark, root):
+    """The same from a stream over the history of events."""
+    t, history = F.col("event_type"), _events_in_order(spark, root, "c1")
+    found = sequences.strict_pairs(history.stream(), "user_id", "ts", "event_id", t == "error", t == "signup", 6 * HOUR,
+                                   keep=["event_id", "ts", "event_type"])
+    return _run(history, found.select("user_id", "s1.event_id", "s1.ts", "s1.event_type"))
+
+
+@query
+def c2a_repeated_stream(spark, root):
+    history = _events_in_order(spark, root, "c2a")
+    return _run(history, sequences.repeats(history.stream(), "user_id", "ts", "event_id", F.col("event_type") == "view", 5, 5 * DAY,
+                                           keep=["event_id", "ts"]).drop(sequences.CLOCK))
+
+
+@query
+def c2b_repeated_same_stream(spark, root):
+    history = _events_in_order(spark, root, "c2b")
+    return _run(history, sequences.repeats(
+        history.stream(), "user_id", "ts", "event_id", F.col("event_type").isNotNull(), 3, 2 * DAY, same="event_type",
+        keep=["event_id", "ts", "event_type"]).drop(sequences.CLOCK))
+
+
+@query
+def c5a_heat_warnings_stream(spark, root):
+    history = _events_in_order(spark, root, "c5a", tables.readings(spark, root))
+    found = sequences.heat_warnings(history.stream(), 50.0, 2 * HOUR)
+    return _run(history, found.drop(sequences.CLOCK)).withColumn("average", F.round("average", 4))
+
+
+@query
+def c5b_heat_alerts_stream(spark, root):
+    """Warnings and the alerts made of them in one streaming query of two stateful operators."""
+    history = _events_in_order(spark, root, "c5b", tables.readings(spark, root))
+    return _run(history, sequences.heat_alerts(history.stream(), 50.0, 2 * HOUR, 24 * HOUR))
