@@ -195,7 +195,7 @@ def test_text_stream_from_files(spark, root, tmp_path):
     rows = tables.log_lines(spark, root).select("value").limit(50)
     rows.write.text(f"{tmp_path}/in")
     got = to_folder(streams.text_stream(spark, "text", path=f"{tmp_path}/in"), tmp_path)
-    assert got.columns == ["value"] and got.count() == 50
+    assert got.columns == ["value", "ingestTime"] and got.count() == 50 and got.where("ingestTime IS NULL").count() == 0
 
 
 def test_change_stream_from_files(spark, root, tmp_path):

@@ -36,9 +36,20 @@ def encode(df: DataFrame, descriptor: str) -> DataFrame:
     return df.select(to_protobuf(row, MESSAGE, descFilePath=descriptor).alias("value"))
 
 
+#: A record as it came: its raw bytes or text, the topic or file, and its place there.
+ORIGIN = ("raw", "source", "position")
+
+
+def from_json_text(df: DataFrame, value: str = "value", *, keep: list[str] | None = None) -> DataFrame:
+    """Envelope columns of change records written as JSON text; text that is none gives null columns."""
+    kept = keep or []
+    parsed = df.select(*kept, F.from_json(F.col(value), schemas.ddl(schemas.CHANGE), {"mode": "PERMISSIVE"}).alias("_e"))
+    return parsed.select(*kept, *[F.col(f"_e.{n}").alias(n) for n, _ in schemas.CHANGE])
+
+
 def quarantine(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) records of a permissive decode."""
-    bad = F.col("tableName").isNull() & F.col("eventType").isNull()
+    """(good, bad) records of a permissive decode: a good one names its table and its operation."""
+    bad = F.col("tableName").isNull() | F.col("eventType").isNull()
     return decoded.filter(~bad), decoded.filter(bad)
 
 

@@ -455,3 +455,12 @@ sql("c5b_heat_alerts", """SELECT rack, event_id AS first_id, nid AS second_id, n
 # A stream gives what its batch form gives.
 for _name in ("c1_fail_then_success", "c2a_repeated", "c2b_repeated_same", "c5a_heat_warnings", "c5b_heat_alerts"):
     ORACLES[f"{_name}_stream"] = ORACLES[_name]
+for _t in schemas.DIMENSIONS:
+    ORACLES[f"k2_sync_{_t}"] = ORACLES[f"k2_state_{_t}"]
+for _name in ("early", "midway", "late"):
+    ORACLES[f"k2_handover_goods_{_name}"] = ORACLES["k2_state_goods"]
+ORACLES["j2_goods_job"] = ORACLES["j2_goods"]
+for _name, _job in (("j3_carts", "j3_carts_job"), ("j4_comments", "j4_comments_job"), ("click_log_wide", "click_log_job")):
+    ORACLES[_job] = f"SELECT * EXCLUDE (event_id) FROM ({ORACLES[_name]})"
+sql("s2_dead_letters", f"""SELECT CASE WHEN o_orderkey % 7 <> 0 THEN o_orderkey END AS "logfileOffset",
+  CASE WHEN o_orderkey % 7 <> 0 THEN {_EVENT} END AS "eventType", CASE WHEN o_orderkey % 7 = 0 THEN 'broken ' || o_orderkey END AS raw FROM orders""")

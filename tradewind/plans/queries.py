@@ -13,7 +13,7 @@ from tradewind.functions import geo, text, times, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, metrics, patterns, widen
 from tradewind.plans.dashboard import dashboard, entries
 from tradewind.sources import streams, tables
-from tradewind.streaming import jobs, sequences, sinks, staging, timeouts
+from tradewind.streaming import handover, jobs, sequences, sinks, staging, timeouts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,19 @@ def _dims(spark, root) -> dims.Dimensions:
     return dims.Dimensions(**{n: view(spark, root) for n, view in tables.DIMENSION_VIEWS.items()})
 
 
+def _staged(spark, rows: DataFrame, at: Column, purpose: str, **closing) -> staging.Staged:
+    """Rows of a table as an ordered history, closed by a row with these values."""
+    end = staging.closing_row(spark, rows.schema, **closing) if closing else None
+    return staging.Staged(rows, at, session.scratch_dir(spark, purpose), closing=end)
+
+
+def _run(history: staging.Staged, rows: DataFrame) -> DataFrame:
+    """A streaming result over the whole history."""
+    out = f"{history.folder}/out"
+    history.feed(sinks.write_rows(rows, out, f"{history.folder}/checkpoint", once=staging.AT_ONCE))
+    return rows.sparkSession.read.schema(rows.schema).parquet(out)
+
+
 # ---- sources and sinks ------------------------------------------------------------------
 
 @query
@@ -57,6 +70,75 @@ for _table in schemas.DIMENSIONS:
         changefeed.of_tables(tables.dimension_changes(spark, root)), t))
 
 
+def _goods_feed(spark, root) -> DataFrame:
+    return changefeed.of_table(tables.dimension_changes(spark, root), "goods")
+
+
+for _table in schemas.DIMENSIONS:
+    def _sync(spark, root, t=_table):
+        """The streaming sync of a dimension over its history of changes: current rows of its table."""
+        feed = changefeed.of_table(tables.dimension_changes(spark, root), t)
+        history = _staged(spark, feed, F.col("logfileOffset"), f"k2-{t}")
+        history.feed(sinks.sync_dimensions(history.stream(), f"{history.folder}/dims", f"{history.folder}/checkpoint",
+                                           once=staging.AT_ONCE, dimensions=[t]))
+        return sinks.read_dimension(spark, f"{history.folder}/dims", t)
+
+    _register(f"k2_sync_{_table}", _sync)
+
+
+# Log positions at which a range's load begins, reads, and ends.
+HANDOVERS = {"early": (0, 2, 3), "midway": (2, 3, 4), "late": (5, 5, 5)}
+
+
+def _handover(spark, root, schedule: tuple[int, int, int]) -> DataFrame:
+    """Goods loaded in key ranges while their changes come in. The source is what the changes up to a position make of it."""
+    feed, order = _goods_feed(spark, root), list(changefeed.CHANGE_ORDER)
+    key, fields = schemas.DIMENSIONS["goods"]
+    typed = feed.select("eventType", *order, *changefeed.typed(fields))
+    span = typed.agg(F.min(key), F.max(key), F.min("executeTime"), F.min("logfileName")).head()
+    ranges = handover.key_ranges(span[0], span[1], 4)
+    history = _staged(spark, feed, F.col("logfileOffset"), "k2-handover")
+    table = f"{history.folder}/dims/goods"
+
+    def load(number: int) -> None:
+        low, read, high = schedule
+        at = iter([low, high])
+        source = changefeed.latest(typed.where(F.col("logfileOffset") <= read), [key], order, [n for n, _ in fields if n != key])
+        handover.load_range(spark, lambda: source.where(handover.in_range(key, *ranges[number])),
+                            lambda: {"executeTime": span[2], "logfileName": span[3], "logfileOffset": next(at)}, number, table)
+
+    def between(stage: int) -> None:
+        for number in range(stage, len(ranges), 2):  # some ranges after each part of the feed
+            load(number)
+
+    history.feed(sinks.sync_dimensions(history.stream(), f"{history.folder}/dims", f"{history.folder}/checkpoint",
+                                       once=staging.AT_ONCE, dimensions=["goods"]), between)
+    for number in range(len(ranges)):
+        load(number)
+    return handover.read_latest(spark, table, [key], order).select(*[n for n, _ in fields])
+
+
+for _name, _schedule in HANDOVERS.items():
+    _register(f"k2_handover_goods_{_name}", lambda spark, root, s=_schedule: _handover(spark, root, s))
+
+
+@query
+def s2_dead_letters(spark, root):
+    """Order changes as JSON text, every seventh broken, read as a stream into two sinks: offsets of the good, text of the bad."""
+    out = session.scratch_dir(spark, "s2")
+    feed = tables.order_changes(spark, root)
+    broken = F.col("logfileOffset") % 7 == 0
+    whole = F.to_json(F.struct(*[n for n, _ in schemas.CHANGE]))
+    feed.select(F.when(broken, F.concat(F.lit("broken "), F.col("logfileOffset"))).otherwise(whole).alias("value")).write.text(f"{out}/in")
+    good = lambda batch, n: batch.select("logfileOffset", "eventType").write.mode("overwrite").parquet(f"{out}/good/batch_id={n}")
+    changes = streams.change_stream(spark, "text", path=f"{out}/in", keep_origin=True)
+    sinks.with_dead_letters(changes, good, f"{out}/bad", f"{out}/checkpoint", once=True).awaitTermination()
+    bad = spark.read.schema("raw string, source string, position bigint").parquet(f"{out}/bad")
+    made = spark.read.schema("logfileOffset bigint, eventType string").parquet(f"{out}/good")
+    return made.select("logfileOffset", "eventType", F.lit(None).cast("string").alias("raw")).unionByName(
+        bad.select(F.lit(None).cast("bigint").alias("logfileOffset"), F.lit(None).cast("string").alias("eventType"), "raw"))
+
+
 @query
 def s6_fact_by_sql(spark, root):
     """The order fact as a view, read with SQL text."""
@@ -208,6 +290,40 @@ def j4_comments(spark, root):
     return widen.comments(tables.comment_messages(spark, root), _dims(spark, root), keep=["event_id"])
 
 
+def _job(spark, rows: DataFrame, start, wide: DataFrame, purpose: str) -> DataFrame:
+    """An enriching job over messages in files: the fields of its JSON records."""
+    out = session.scratch_dir(spark, purpose)
+    rows.write.parquet(f"{out}/in")
+    start(streams.file_stream(spark, f"{out}/in", rows.schema, maxFilesPerTrigger=tables.FILES_PER_BATCH), f"{out}/json",
+          f"{out}/checkpoint", fmt="parquet", once=True).awaitTermination()
+    made = spark.read.schema("value string").parquet(f"{out}/json")
+    return made.select(F.from_json("value", wide.schema).alias("r")).select("r.*")
+
+
+@query
+def j2_goods_job(spark, root):
+    d, feed = _dims(spark, root), tables.goods_changes(spark, root)
+    return _job(spark, feed, lambda s, *a, **k: jobs.goods_job(s, lambda: d, *a, **k), widen.goods(feed, d), "j2")
+
+
+@query
+def j3_carts_job(spark, root):
+    d, ranges, messages = _dims(spark, root), tables.ip_ranges(spark, root), tables.cart_messages(spark, root).select("value")
+    return _job(spark, messages, lambda s, *a, **k: jobs.carts_job(s, lambda: d, ranges, *a, **k), widen.carts(messages, d, ranges), "j3")
+
+
+@query
+def j4_comments_job(spark, root):
+    d, messages = _dims(spark, root), tables.comment_messages(spark, root).select("value")
+    return _job(spark, messages, lambda s, *a, **k: jobs.comments_job(s, lambda: d, *a, **k), widen.comments(messages, d), "j4")
+
+
+@query
+def click_log_job(spark, root):
+    ranges, lines = tables.ip_ranges(spark, root), tables.log_lines(spark, root).select("value")
+    return _job(spark, lines, lambda s, *a, **k: jobs.clicks_job(s, ranges, *a, **k), widen.clicks(lines, ranges), "clicks")
+
+
 @query
 def j5_ip_places(spark, root):
     v = tables.visits(spark, root).select("event_id", "ip")
@@ -297,19 +413,6 @@ def a0_order_rollup(spark, root):
     return metrics.order_rollup(changefeed.orders(new))
 
 
-def _staged(spark, rows: DataFrame, at: Column, purpose: str, **closing) -> staging.Staged:
-    """Rows of a table as an ordered history, closed by a row with these values."""
-    end = staging.closing_row(spark, rows.schema, **closing) if closing else None
-    return staging.Staged(rows, at, session.scratch_dir(spark, purpose), closing=end)
-
-
-def _run(history: staging.Staged, rows: DataFrame) -> DataFrame:
-    """A streaming result over the whole history."""
-    out = f"{history.folder}/out"
-    history.feed(sinks.write_rows(rows, out, f"{history.folder}/checkpoint", once=staging.AT_ONCE))
-    return rows.sparkSession.read.schema(rows.schema).parquet(out)
-
-
 @query
 def a0_rollup_stream(spark, root):
     """The streaming roll-up over the history of orders, day after day."""

@@ -12,20 +12,29 @@ from tradewind.operators import changefeed
 
 def text_stream(spark: SparkSession, fmt: str = "kafka", *, path: str | None = None,
                 **options) -> DataFrame:
-    """One text record per row, in a column named `value`."""
+    """One text record per row, in a column named `value`, and the time at which it came in."""
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         return reader.load().select(F.col("value").cast("string"), F.col("timestamp").alias("ingestTime"))
-    return reader.schema("value string").load(path)
+    return reader.schema("value string").load(path).select("value", F.col("_metadata.file_modification_time").alias("ingestTime"))
 
 
 def change_stream(spark: SparkSession, fmt: str = "kafka", *, path: str | None = None,
-                  descriptor: str | None = None, **options) -> DataFrame:
-    """Change records. From Kafka they are protobuf bytes, from files they are rows."""
+                  descriptor: str | None = None, keep_origin: bool = False, **options) -> DataFrame:
+    """Change records. From Kafka they are protobuf bytes, from text files JSON, from other files rows.
+
+    With `keep_origin`, bytes and text also bring the record as it came and its place, for `sinks.with_dead_letters`."""
     reader = spark.readStream.format(fmt).options(**options)
+    if fmt not in ("kafka", "text"):
+        return reader.schema(schemas.ddl(schemas.CHANGE)).load(path)
+    kept = list(changefeed.ORIGIN) if keep_origin else []
     if fmt == "kafka":
-        return changefeed.decode(reader.load(), "value", descriptor=descriptor)
-    return reader.schema(schemas.ddl(schemas.CHANGE)).load(path)
+        place = [F.col("value"), F.col("value").alias("raw"), F.concat_ws("/", "topic", "partition").alias("source"),
+                 F.col("offset").alias("position")]
+        return changefeed.decode(reader.load().select(*place), descriptor, "value", keep=kept)
+    place = [F.col("value"), F.col("value").alias("raw"), F.col("_metadata.file_path").alias("source"),
+             F.col("_metadata.file_block_start").alias("position")]
+    return changefeed.from_json_text(reader.schema("value string").load(path).select(*place), "value", keep=kept)
 
 
 def file_stream(spark: SparkSession, path: str, schema, fmt: str = "parquet",

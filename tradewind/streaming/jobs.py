@@ -84,7 +84,7 @@ def clicks_job(lines, ranges: DataFrame, target, checkpoint, **kw):
 
 
 def _enriched(stream: DataFrame, widened: Callable[[DataFrame], DataFrame], target: str,
-              checkpoint: str, *, fmt: str = "kafka", once: bool = False, **options) -> StreamingQuery:
+              checkpoint: str, *, fmt: str = "kafka", once: bool | str = False, **options) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
         sinks.write_json_batch(widened(batch), target, batch_id, fmt=fmt, **options)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -126,27 +126,44 @@ def reduce_changes(spark: SparkSession, path: str, key: list[str], order: list[s
     """Fold all batches so far into one row per key. Deletes stay, so that a late older change
     does not bring a row back."""
     rows, upto = _merged(spark, path)
-    if rows is None:
-        return
+    if rows is None or upto in _finished(spark, f"{path}/reduced", "upto")[-1:]:
+        return  # a batch that is run again has been folded already
     values = [c for c in rows.columns if c not in (*key, *order, event)]
     changefeed.latest(rows, key, order, values, event=event, with_deleted=True).write.mode(
         "overwrite").parquet(f"{path}/reduced/upto={upto}")
 
 
-def sync_dimensions(changes: DataFrame, path: str, checkpoint: str, *,
-                    once: bool = False) -> StreamingQuery:
-    """Keep all dimension tables up to date from the change feed, one pass over the feed."""
+def sync_dimensions(changes: DataFrame, path: str, checkpoint: str, *, once: bool | str = False,
+                    dimensions: Iterable[str] = tuple(schemas.DIMENSIONS)) -> StreamingQuery:
+    """Keep dimension tables up to date from the change feed, one pass over the feed."""
     def write(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()
         try:
-            for table, (key, fields) in schemas.DIMENSIONS.items():
+            for table in dimensions:
+                key, fields = schemas.DIMENSIONS[table]
                 rows = changefeed.of_table(held, table).select(
                     "eventType", *changefeed.CHANGE_ORDER, *changefeed.typed(fields))
                 append_changes(rows, batch_id, f"{path}/{table}", [key], list(changefeed.CHANGE_ORDER))
         finally:
             held.unpersist()
 
-    return each_batch(changefeed.of_tables(changes), write, checkpoint, once=once)
+    return each_batch(changefeed.of_tables(changes, dimensions), write, checkpoint, once=once)
+
+
+def with_dead_letters(decoded: DataFrame, write: Callable[[DataFrame, int], None], letters: str, checkpoint: str, *,
+                      once: bool | str = False) -> StreamingQuery:
+    """One pass, two sinks: good records to `write`, bad ones as they came, with where they came from, to the folder
+    `letters`. Both are replaced when a micro-batch is run again."""
+    def both(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            good, bad = changefeed.quarantine(held)
+            write(good.drop(*changefeed.ORIGIN), batch_id)
+            bad.select(*changefeed.ORIGIN).write.mode("overwrite").parquet(f"{letters}/batch_id={batch_id}")
+        finally:
+            held.unpersist()
+
+    return each_batch(decoded, both, checkpoint, once=once)
 
 
 def read_dimension(spark: SparkSession, path: str, table: str) -> DataFrame | None:
