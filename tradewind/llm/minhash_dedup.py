@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,13 +58,16 @@ def reach(alike: int, of: int) -> tuple[int, int]:
 RADIUS, CHUNKS = reach(ALIKE, OF)
 
 
-def _sets(texts: pa.Array, shingle: int) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """(first row, sorted distinct shingles of each row) a block at a time."""
+def _sets(texts: pa.Array, shingles: tuple[int, ...]) -> Iterator[tuple[int, list[list[np.ndarray]]]]:
+    """(first row, for each length of shingle the sorted distinct shingles of each row) a block at a time."""
     for block in wordhash.blocks(texts):
         block.words()
-        h, doc = wordhash.shingles(block.hashes(fold=True), block.doc, shingle)
-        cut = np.searchsorted(doc, np.arange(block.n + 1))
-        yield block.first, [np.unique(h[cut[i]:cut[i + 1]]) for i in range(block.n)]
+        words, found = block.hashes(fold=True), []
+        for shingle in shingles:
+            h, doc = wordhash.shingles(words, block.doc, shingle)
+            cut = np.searchsorted(doc, np.arange(block.n + 1))
+            found.append([np.unique(h[cut[i]:cut[i + 1]]) for i in range(block.n)])
+        yield block.first, found
 
 
 def _minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -79,27 +81,29 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, _row (hash of the text), n_shingles, two halves of the set's digest, and the signature in 8 longs (null for
-    empty sets)."""
-    schema = f"doc_id bigint, _row bigint, n_shingles bigint, d0 bigint, d1 bigint, {', '.join(f'{s} bigint' for s in SIG)}"
+def signatures(docs: DataFrame, shingles: tuple[int, ...] = (SHINGLE,)) -> DataFrame:
+    """doc_id, _row (hash of the text), rule (place of the shingle's length), n_shingles, two halves of the set's digest, and the
+    signature in 8 longs (null for empty sets): a row for each text and rule. A text is read and cut into words once."""
+    schema = f"doc_id bigint, _row bigint, rule int, n_shingles bigint, d0 bigint, d1 bigint, {', '.join(f'{s} bigint' for s in SIG)}"
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
-            for first, sets in _sets(batch.column(1), shingle):
-                full = [i for i, s in enumerate(sets) if len(s)]
-                rows = np.zeros((len(sets), 2 + len(SIG)), np.int64)
-                for i in full:
-                    rows[i, :2] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
-                if full:
-                    rows[full, 2:] = _minima([sets[i] for i in full]).view(np.int64)
-                empty = np.ones(len(sets), bool)
-                empty[full] = False
-                yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, len(sets)), batch.column(2).slice(first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                     *[pa.array(rows[:, c], pa.int64(), mask=empty) for c in range(rows.shape[1])]],
-                    names=["doc_id", "_row", "n_shingles", "d0", "d1", *SIG])
+            for first, found in _sets(batch.column(1), shingles):
+                for rule, sets in enumerate(found):
+                    full = [i for i, s in enumerate(sets) if len(s)]
+                    rows = np.zeros((len(sets), 2 + len(SIG)), np.int64)
+                    for i in full:
+                        rows[i, :2] = np.frombuffer(hashlib.blake2b(sets[i].tobytes(), digest_size=16).digest(), np.int64)
+                    if full:
+                        rows[full, 2:] = _minima([sets[i] for i in full]).view(np.int64)
+                    empty = np.ones(len(sets), bool)
+                    empty[full] = False
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.slice(first, len(sets)), batch.column(2).slice(first, len(sets)), pa.array(np.full(len(sets), rule, np.int32)),
+                         pa.array([len(s) for s in sets], pa.int64()),
+                         *[pa.array(rows[:, c], pa.int64(), mask=empty) for c in range(rows.shape[1])]],
+                        names=["doc_id", "_row", "rule", "n_shingles", "d0", "d1", *SIG])
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_hash(F.col("text")).alias("_row")).mapInArrow(
         run, schema)
@@ -142,30 +146,35 @@ def distance(a: str, b: str) -> Column:
     return total
 
 
-def sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """(id, set) of the texts with these ids."""
+def sets_of(docs: DataFrame, wanted: DataFrame, shingles: tuple[int, ...], repeats: bool) -> DataFrame:
+    """(id, set) of the classes `wanted` (id, rule, doc_id, _row): the text of each is read once for all its rules. `repeats`
+    says that rows may be there twice."""
     def run(batches):
         for batch in batches:
-            for first, sets in _sets(batch.column(1), shingle):
-                ends = np.cumsum([0] + [len(s) for s in sets])
-                flat = np.concatenate(sets).view(np.int64) if len(sets) else np.zeros(0, np.int64)
+            asked = batch.column(1).to_pylist()
+            for first, found in _sets(batch.column(0), shingles):
+                picked = [(a["id"], found[a["rule"]][i]) for i in range(len(found[0])) for a in asked[first + i]]
+                ends = np.cumsum([0] + [len(s) for _, s in picked])
+                flat = np.concatenate([s for _, s in picked]).view(np.int64) if picked else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(sets)),
+                    [pa.array([k for k, _ in picked], pa.int64()),
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))], names=["id", "set"])
 
-    wanted = ids.select(F.col("id").alias("doc_id"))
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    asked = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi")
-    return durable(asked.mapInArrow(run, "id bigint, set array<bigint>"), "sets")
+    rows = durable(wanted.groupBy("doc_id", "_row").agg(F.collect_list(F.struct("id", "rule")).alias("_asked")), "wanted")  # one a rule
+    rows = F.broadcast(rows) if rows.count() <= BROADCAST_IDS else rows
+    once = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", row_hash(F.col("text")).alias("_row")).join(
+        rows, ["doc_id", "_row"])
+    if repeats:
+        once = once.groupBy("doc_id", "_row").agg(F.first("text").alias("text"), F.first("_asked").alias("_asked"))
+    return durable(once.select("text", "_asked").mapInArrow(run, "id bigint, set array<bigint>"), "sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, alike: int, of: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets are alike enough."""
+def confirmed(pairs: DataFrame, sets: DataFrame, limit: Column) -> DataFrame:
+    """The pairs (a, b, rule) whose whole sets are alike enough: `limit` gets sizes x, y and what they share."""
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("x")), "a").join(
         sets.select(F.col("id").alias("b"), F.col("set").alias("y")), "b")
-    shared = F.size(F.array_intersect("x", "y"))
-    return both.where(of * shared >= alike * (F.size("x") + F.size("y") - shared)).select("a", "b").distinct()
+    sized = both.select("a", "b", "rule", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("shared"))
+    return sized.where(limit).select("a", "b").distinct()
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -205,40 +214,63 @@ def groups(docs: DataFrame, shingle: int = SHINGLE, alike: int = ALIKE, of: int
     texts have none and stay alone. Repeated rows are copies, so rows with the kept id are all
     kept. Rows without an id join the group of their copies that have one, else their component is null
     and they stay. Other columns are not looked at."""
-    return _judged(docs, shingle, alike, of, rounds).select("doc_id", "n_shingles", "component_id", "kept")
+    return _judged(docs, ((shingle, alike, of),), rounds).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def _by_rule(values: list[int]) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.col("rule") + 1) if len(values) > 1 else F.lit(values[0])
 
 
-def _judged(docs: DataFrame, shingle: int, alike: int, of: int, rounds: int = ROUNDS) -> DataFrame:
-    """`groups` with _row (hash of the text) and the set's digest d0, d1."""
-    radius, chunks = reach(alike, of)
-    marked = durable(signatures(docs, shingle), "signatures")
-    classes = durable(marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull()).groupBy("d0", "d1").agg(
-        F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]), "classes")
-    sigs = classes.select("id", "n", *SIG)
-    similar_size = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n"))
-    close = similar_size & (distance("x", "y") <= radius)
+def _judged(docs: DataFrame, rules: tuple[tuple[int, int, int], ...], rounds: int = ROUNDS) -> DataFrame:
+    """Rows of `groups` for each rule, with _row (hash of the text), rule, and the set's digest d0, d1.
+
+    All rules are worked off together. A node is a class of texts of one set under one rule; the classes that a text has
+    under different rules are linked to begin with, so a pair that one rule has joined is no work for another."""
+    shingles, reached = tuple(r[0] for r in rules), [reach(*r[1:]) for r in rules]
+    alike, of, radius = _by_rule([r[1] for r in rules]), _by_rule([r[2] for r in rules]), _by_rule([r[0] for r in reached])
+    marked = durable(signatures(docs, shingles), "signatures")
+    named = marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull())
+    repeats = bool(named.where("rule = 0").groupBy("doc_id", "_row").count().where("count > 1").limit(1).count())
+    classes = durable(named.groupBy("rule", "d0", "d1").agg(
+        F.min(F.struct("doc_id", "_row")).alias("_first"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]).select(
+        F.monotonically_increasing_id().alias("id"), "rule", "d0", "d1", "_first.*", "n", *SIG), "classes")
+    sigs = classes.select("id", "rule", "n", *SIG)
+    close = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n")) & (distance("x", "y") <= radius)
+    enough = of * F.col("shared") >= alike * (F.col("nx") + F.col("ny") - F.col("shared"))
 
     def near(pairs: DataFrame) -> DataFrame:
-        return durable(pairs.join(sigs.alias("x"), F.col("a") == F.col("x.id")).join(
-            sigs.alias("y"), (F.col("b") == F.col("y.id")) & close).select("a", "b").distinct(), "pairs")
+        x, y = sigs.withColumnRenamed("rule", "_x").alias("x"), sigs.alias("y")
+        return durable(pairs.join(x, F.col("a") == F.col("x.id")).join(y, (F.col("b") == F.col("y.id")) & close).select(
+            "a", "b", "rule").distinct(), "pairs")
 
     sets: DataFrame | None = None
 
     def known(ids: DataFrame) -> DataFrame:
         """Sets of at least these ids; each text is read for it once."""
         nonlocal sets
-        new = sets_of(docs, ids if sets is None else ids.join(sets, "id", "left_anti"), shingle)
+        asked = ids if sets is None else ids.join(sets, "id", "left_anti")
+        new = sets_of(docs, asked.join(classes.select("id", "rule", "doc_id", "_row"), "id"), shingles, repeats)
         sets = new if sets is None else sets.unionByName(new)
         return sets
 
     def links(pairs: DataFrame) -> DataFrame:
-        return durable(confirmed(pairs, known(_ends(pairs)), alike, of), "links")
-
-    keys = chunk_keys(sigs, chunks=chunks)
+        return confirmed(pairs, known(_ends(pairs)), enough)
+
+    def tied() -> DataFrame:
+        """Links between the classes of a text under the rules."""
+        of_text = named.select("doc_id", "_row", "rule", "d0", "d1").join(classes.select("rule", "d0", "d1", "id"), ["rule", "d0", "d1"])
+        ends = of_text.groupBy("doc_id", "_row").agg(F.collect_set("id").alias("_ids"), F.min("id").alias("a"))  # one a rule
+        return ends.select("a", F.explode("_ids").alias("b")).where("a <> b").distinct()
+
+    keys = None
+    for rule, (_, chunks) in enumerate(reached):
+        own = chunk_keys(sigs.where(F.col("rule") == rule), chunks=chunks).withColumn("key", F.col("key") * len(rules) + rule)
+        keys = own if keys is None else keys.unionByName(own)
     heads = keys.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("_n")).where(F.col("_n") > 1)
     shared = durable(keys.join(heads.select("key", "a"), "key"), "shared-keys")
     met = shared.where(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
-    owned = _merged(durable(sigs.select("id", F.col("id").alias("component")), "owned"), links(near(met)))
+    first = links(near(met))
+    owned = _merged(sigs.select("id", F.col("id").alias("component")), first.union(tied()) if len(rules) > 1 else first)
 
     open_ = shared.select("key", "id")
     for turn in range(rounds):
@@ -256,27 +288,30 @@ def _judged(docs: DataFrame, shingle: int, alike: int, of: int, rounds: int = RO
     several = placed.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).where(
         F.col("_lo") < F.col("_hi")).select("key")
     signed = placed.join(several, "key", "left_semi").join(sigs, "id")
-    x, y = signed.alias("x"), signed.alias("y")
-    waiting = durable(x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & close,
-                             "left_semi").select("id", "component", "n", *SIG).distinct(), "waiting")
-    tokens = waiting.select("id", "component").join(known(waiting.select("id")), "id").select("id", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
-    spread = tokens.groupBy("token").agg(F.count_distinct("component").alias("held"))
-    first = F.row_number().over(W.partitionBy("id").orderBy("held", "token"))
-    prefix = tokens.join(spread, "token").withColumn("_at", first).where(
+    x, y = signed.withColumnRenamed("rule", "_x").alias("x"), signed.alias("y")
+    waiting = durable(y.join(x, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & close,
+                             "left_semi").select("id", "rule", "component", "n", *SIG).distinct(), "waiting")
+    tokens = waiting.select("id", "rule", "component").join(known(waiting.select("id")), "id").select(
+        "id", "rule", "component", F.size("set").alias("n"), F.explode("set").alias("token"))
+    spread = tokens.groupBy("rule", "token").agg(F.count_distinct("component").alias("held"))
+    place = F.row_number().over(W.partitionBy("id").orderBy("held", "token"))
+    prefix = tokens.join(spread, ["rule", "token"]).withColumn("_at", place).where(
         (F.col("_at") <= F.col("n") - F.ceil(F.col("n") * alike / of) + 1) & (F.col("held") > 1)).select("id", "token", F.col("_at").alias("at"))
     rare = durable(prefix.join(waiting, "id"), "rare-shingles")
-    x, y = rare.alias("x"), rare.alias("y")
+    x, y = rare.withColumnRenamed("rule", "_x").alias("x"), rare.alias("y")
     # The first shared shingle bounds the overlap: what comes before it in either order is not shared.
-    enough = (of + alike) * (1 + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))) >= alike * (
+    able = (of + alike) * (1 + F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))) >= alike * (
         F.col("x.n") + F.col("y.n"))
-    across = durable(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component"))
-                            & enough & close).select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
-    owned = _merged(owned, durable(confirmed(across, sets, alike, of), "links"))
-
-    final = classes.select("d0", "d1", "id").join(owned, "id").select("d0", "d1", F.col("component").alias("component_id"))
-    return marked.select("doc_id", "_row", "n_shingles", "d0", "d1").join(final, ["d0", "d1"], "left").select(
-        "doc_id", "_row", "d0", "d1", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
+    across = durable(x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("_x") == F.col("rule"))
+                            & (F.col("x.component") < F.col("y.component")) & able & close).select(
+        F.col("x.id").alias("a"), F.col("y.id").alias("b"), "rule").distinct(), "pairs")
+    owned = _merged(owned, confirmed(across, sets, enough))
+
+    placed = classes.select("rule", "d0", "d1", "id", F.col("doc_id").alias("_doc")).join(owned, "id")
+    least = placed.groupBy("component").agg(F.min("_doc").alias("component_id"))
+    final = placed.join(least, "component").select("rule", "d0", "d1", "component_id")
+    return marked.select("doc_id", "_row", "rule", "n_shingles", "d0", "d1").join(final, ["rule", "d0", "d1"], "left").select(
+        "doc_id", "_row", "rule", "d0", "d1", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.col("doc_id") == F.coalesce("component_id", "doc_id"), F.col("component_id").isNull()).alias("kept"))
 
 
@@ -286,28 +321,20 @@ def deduplicated(docs: DataFrame, rules: tuple[tuple[int, int, int], ...] = ((SH
     `rules` are (shingle, alike, of); texts that are alike by any of them are linked, and groups are what all links join.
     Of rows without an id, copies of a row that has one go, and one of each class of copies without any stays; blank
     texts stay. Rows that repeat the id that is kept all stay, as in `groups`."""
-    judged = [_judged(docs.select("doc_id", "text"), *rule) for rule in rules]
-    found = [j.where(F.col("doc_id").isNotNull() & ~F.col("kept")) for j in judged]
-    if len(found) == 1:
-        gone = found[0].select("doc_id").distinct()
-    else:
-        links = [f.select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")) for f in found]
-        gone = components(reduce(DataFrame.union, links)).where(F.col("id") != F.col("component")).select(F.col("id").alias("doc_id"))
+    judged = _judged(docs.select("doc_id", "text"), rules)
+    gone = judged.where(F.col("doc_id").isNotNull() & ~F.col("kept") & (F.col("rule") == 0)).select("doc_id").distinct()
     bare = F.col("doc_id").isNull()
     if not docs.where(bare).limit(1).count():
         return docs.join(gone, "doc_id", "left_anti")
 
     # Rows without an id are told apart by the hash of their text; the smallest of a class without any id stays.
-    copies, worded = [], None
-    for j in judged:
-        idless = durable(j.where(bare & F.col("d0").isNotNull()).select("_row", "d0", "d1", "component_id").distinct(), "idless")
-        least = idless.groupBy("d0", "d1").agg(F.min("_row").alias("_least"))
-        copies.append(idless.join(least, ["d0", "d1"]).where(
-            F.col("component_id").isNotNull() | (F.col("_row") != F.col("_least"))).select("_row"))
-        worded = idless.select("_row").distinct()  # the same under each rule
+    idless = durable(judged.where(bare & F.col("d0").isNotNull()).select("_row", "rule", "d0", "d1", "component_id").distinct(), "idless")
+    least = idless.groupBy("rule", "d0", "d1").agg(F.min("_row").alias("_least"))
+    copies = idless.join(least, ["rule", "d0", "d1"]).where(
+        F.col("component_id").isNotNull() | (F.col("_row") != F.col("_least"))).select("_row").distinct()
     rows = docs.where(bare).select(row_hash(F.col("text")).alias("_row"), F.struct("*").alias("_doc"))
-    rows = rows.join(reduce(DataFrame.union, copies).distinct(), "_row", "left_anti")
-    once = rows.join(worded, "_row", "left_semi").dropDuplicates(["_row"])
-    blank = rows.join(worded, "_row", "left_anti")
+    rows = rows.join(copies, "_row", "left_anti")
+    once = rows.join(idless.select("_row").distinct(), "_row", "left_semi").dropDuplicates(["_row"])
+    blank = rows.join(idless.select("_row").distinct(), "_row", "left_anti")
     named = docs.where(~bare).join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
     return named.union(once.union(blank).select("_doc.*"))
