@@ -231,9 +231,10 @@ def _judged(docs: DataFrame, rules: tuple[tuple[int, int, int], ...], rounds: in
     marked = durable(signatures(docs, shingles), "signatures")
     named = marked.where(F.col("d0").isNotNull() & F.col("doc_id").isNotNull())
     repeats = bool(named.where("rule = 0").groupBy("doc_id", "_row").count().where("count > 1").limit(1).count())
+    # Numbers follow the documents' ids: a key's smallest node is then its oldest text, which copies are most alike to.
     classes = durable(named.groupBy("rule", "d0", "d1").agg(
-        F.min(F.struct("doc_id", "_row")).alias("_first"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]).select(
-        F.monotonically_increasing_id().alias("id"), "rule", "d0", "d1", "_first.*", "n", *SIG), "classes")
+        F.min(F.struct("doc_id", "_row")).alias("_first"), F.first("n_shingles").alias("n"), *[F.first(s).alias(s) for s in SIG]).orderBy(
+        "_first", "rule").select(F.monotonically_increasing_id().alias("id"), "rule", "d0", "d1", "_first.*", "n", *SIG), "classes")
     sigs = classes.select("id", "rule", "n", *SIG)
     close = (of * F.col("x.n") >= alike * F.col("y.n")) & (of * F.col("y.n") >= alike * F.col("x.n")) & (distance("x", "y") <= radius)
     enough = of * F.col("shared") >= alike * (F.col("nx") + F.col("ny") - F.col("shared"))
