@@ -3,7 +3,8 @@
 A busy key is split into slices of time, so that a key with a third of all events is spread over
 many tasks. Within a slice, matches come from one window. What a slice needs to know about later
 ones is a single event per pattern step, the first that fits, and that is found in a summary of
-one row per key and slice. Slice length has no influence on the result.
+one row per key and slice. Slice length has no influence on the result. A burst, which a slice however short
+can't spread, is cut further by `burst_cuts`: between events of one instant too, in the order of the tie-break.
 
 Rules: order is (time, tie-break); a match must take strictly less than `within`; matches may
 overlap; "next" means the very next event of the key, "later" the first suitable one. Events
@@ -17,10 +18,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind import session
 from tradewind.functions import times
 
 NEXT, LATER = "next", "later"
 SLICE_SECONDS = 3600.0
+BURST = 1_000_000  # rows of one key and slice that one task takes on
+SAMPLES = 16  # rows looked at for each cut
+BROADCAST_CUTS = 1_000_000  # of about 24 bytes each
 
 
 @dataclass(frozen=True)
@@ -43,6 +48,37 @@ def _in_slices(df: DataFrame, key: str, ts: str, slice_seconds: float) -> DataFr
     return timed.withColumn("_slice", time_slice("_us", slice_seconds))
 
 
+def burst_cuts(df: DataFrame, key: str, ts: str, tie: str, *, slice_seconds: float = SLICE_SECONDS,
+               burst: int = BURST) -> DataFrame | None:
+    """Where to cut the slices that hold more than `burst` rows of a key, or None if there are none.
+
+    One row per such key and slice with its cut points, ordered instants and tie-breaks. They are for `cuts` of the
+    patterns over the same key, time, tie-break and slice length, whatever the steps, and change no result. Counting is one narrow pass
+    that combines on the map side; a second pass takes a sample, by hash, of the busy slices alone. There is about
+    one cut for `burst` rows, so the table has at most a `burst`-th of the rows; it is written to the checkpoint folder and counted
+    before it may be broadcast. Rows alike in time and tie-break stay together."""
+    rows = _in_slices(df.select(*dict.fromkeys([key, ts, tie])), key, ts, slice_seconds)
+    busy = session.written(rows.groupBy(key, "_slice").agg(F.count("*").alias("_n")).filter(F.col("_n") > burst).drop("_n"), "busy-slices")
+    if busy.isEmpty():
+        return None
+    at = F.struct("_us", F.col(tie).alias("_tie"))
+    sampled = rows.filter(F.pmod(F.xxhash64("_us", tie), F.lit(max(1, burst // SAMPLES))) == 0).join(busy, [key, "_slice"], "left_semi")
+    points = sampled.groupBy(key, "_slice").agg(F.sort_array(F.collect_list(at)).alias("_p"))
+    found = session.written(points.select(key, "_slice", F.filter("_p", lambda _, i: i % SAMPLES == SAMPLES - 1).alias("_cuts")), "burst-cuts")
+    n = found.agg(F.coalesce(F.sum(F.size("_cuts") + 1), F.lit(0))).head()[0]
+    return F.broadcast(found) if n <= BROADCAST_CUTS else found
+
+
+def _cut(rows: DataFrame, key: str, tie: str, cuts: DataFrame | None) -> DataFrame:
+    """Slices of (slice, part) instead, in the same order: a part is what lies between two cuts."""
+    if cuts is None:
+        return rows
+    at = F.struct("_us", F.col(tie).alias("_tie"))
+    part = F.when(F.col("_cuts").isNull(), 0).otherwise(F.size(F.filter("_cuts", lambda c: c <= at)))
+    return rows.join(cuts, [key, "_slice"], "left").withColumn(
+        "_slice", F.struct(F.col("_slice").alias("slice"), part.alias("part"))).drop("_cuts")
+
+
 def _with_following(rows: DataFrame, key: str, tie: str, target: str, name: str, follows: str,
                     only: Column) -> DataFrame:
     """Add `name`: `target` of the next row of the key, or of the next row where it is not null.
@@ -70,11 +106,11 @@ def _with_following(rows: DataFrame, key: str, tie: str, target: str, name: str,
 
 def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step], within: float, *,
                    keep: list[str], slice_seconds: float = SLICE_SECONDS,
-                   timeouts: bool = False) -> DataFrame:
+                   timeouts: bool = False, cuts: DataFrame | None = None) -> DataFrame:
     """Matches of a sequence of steps: the key and one struct `s0`, `s1`, ... per step.
 
     With `timeouts`, first events without a match are kept too: `matched` tells them apart, and
-    their later steps are null.
+    their later steps are null. `cuts` are those of `burst_cuts`.
     """
     if all(s.follows == LATER for s in steps[1:]):
         # Only "next" cares about events that are no step; without it they need not move at all.
@@ -88,6 +124,7 @@ def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step]
         df.select(*dict.fromkeys([key, ts, tie, *keep]),
                   *[F.coalesce(s.where, F.lit(False)).alias(f) for s, f in zip(steps, flags)]),
         key, ts, slice_seconds)
+    rows = _cut(rows, key, tie, cuts)
     event = F.struct(*fields, "_us")
     # _t{i}: what the rest of the pattern looks like when this event is taken as step i.
     last = len(steps) - 1
@@ -112,15 +149,16 @@ def sequence_match(df: DataFrame, key: str, ts: str, tie: str, steps: list[Step]
 
 def repeat_match(df: DataFrame, key: str, ts: str, tie: str, where: Column, times_n: int,
                  within: float, *, same: str | None = None, keep: list[str] | None = None,
-                 slice_seconds: float = SLICE_SECONDS) -> DataFrame:
+                 slice_seconds: float = SLICE_SECONDS, cuts: DataFrame | None = None) -> DataFrame:
     """`times_n` suitable events in a row (others in between do not matter) within a time.
 
     Returns the first event's `keep` columns and the last event's time. With `same`, all events
-    of the match must carry one and the same value in that column.
+    of the match must carry one and the same value in that column. `cuts` are those of `burst_cuts`.
     """
     keep, ahead = keep or [ts], times_n - 1
     rows = _in_slices(df.filter(where).select(
         *dict.fromkeys([key, ts, tie, *keep, *([same] if same else [])])), key, ts, slice_seconds)
+    rows = _cut(rows, key, tie, cuts)
     order = Window.partitionBy(key, "_slice").orderBy("_us", tie)
     event = F.struct("_us", F.col(tie).alias("_tie"), F.col(ts).alias("_ts"),
                      *([F.col(same).alias("_v")] if same else []))

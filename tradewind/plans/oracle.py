@@ -455,6 +455,8 @@ sql("c5b_heat_alerts", """SELECT rack, event_id AS first_id, nid AS second_id, n
 # A stream gives what its batch form gives.
 for _name in ("c1_fail_then_success", "c2a_repeated", "c2b_repeated_same", "c5a_heat_warnings", "c5b_heat_alerts"):
     ORACLES[f"{_name}_stream"] = ORACLES[_name]
+for _name in ("c1_fail_then_success", "c2b_repeated_same", "c3_paid_or_timeout"):
+    ORACLES[f"{_name}_bursts"] = ORACLES[_name]
 for _t in schemas.DIMENSIONS:
     ORACLES[f"k2_sync_{_t}"] = ORACLES[f"k2_state_{_t}"]
 for _name in ("early", "midway", "late"):

@@ -791,6 +791,37 @@ def c3_paid_or_timeout(spark, root):
         12 * HOUR, keep=["event_id", "ts"])
 
 
+def _with_bursts(spark, root):
+    """Events, and how to match them where a user's month is too much for one task."""
+    events = tables.load(spark, root, "events")
+    month = 30 * DAY
+    return events, dict(slice_seconds=month, cuts=patterns.burst_cuts(
+        events, "user_id", "ts", "event_id", slice_seconds=month, burst=40))
+
+
+@query
+def c1_fail_then_success_bursts(spark, root):
+    events, how = _with_bursts(spark, root)
+    t = F.col("event_type")
+    return patterns.strict_pair(events, "user_id", "ts", "event_id", t == "error", t == "signup", 6 * HOUR,
+                                keep=["event_id", "ts", "event_type"], **how)
+
+
+@query
+def c2b_repeated_same_bursts(spark, root):
+    events, how = _with_bursts(spark, root)
+    return patterns.repeat_match(events, "user_id", "ts", "event_id", F.col("event_type").isNotNull(), 3, 2 * DAY,
+                                 same="event_type", keep=["event_id", "ts", "event_type"], **how)
+
+
+@query
+def c3_paid_or_timeout_bursts(spark, root):
+    events, how = _with_bursts(spark, root)
+    t = F.col("event_type")
+    return patterns.followed_by_or_timeout(events, "user_id", "ts", "event_id", t == "click", t == "purchase", 12 * HOUR,
+                                           keep=["event_id", "ts"], **how)
+
+
 @query
 def t4_paid_or_timeout_stream(spark, root):
     """The same from a stream over the history of events."""

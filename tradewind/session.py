@@ -8,7 +8,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that can change at run time. Wall-clock text (log times, day keys) must not
 # depend on the executor's zone, so the session zone is pinned.
@@ -63,3 +63,10 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
         base = _local_scratch()
     return f"{base.rstrip('/')}/tradewind/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows, written to the shared folder once and read from there."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
