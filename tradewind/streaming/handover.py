@@ -73,7 +73,7 @@ def trusted_ranges(spark: SparkSession, path: str, applied: dict) -> list[int]:
 
 def _rows(spark: SparkSession, path: str, ranges: list[int]) -> DataFrame | None:
     parts = [spark.read.parquet(*[f"{path}/snapshot_rows/range={n}" for n in ranges])] if ranges else []
-    changes, _ = sinks._merged(spark, path)
+    changes = sinks._merged(spark, path)
     if changes is not None:
         parts.append(changes)
     if not parts:
