@@ -2,7 +2,7 @@
 `count`) and the click stream.
 
 Every metric takes `as_of` in place of the current time, so results repeat. Its bounds fold to
-literals and reach the scan; a fact partitioned by day is pruned by them. Sums combine on the
+literals and reach the scan; a fact stored by day (`rollup_table`) is pruned by them. Sums combine on the
 map side, so an area or day with a third of all rows costs one row per task.
 """
 
@@ -15,6 +15,7 @@ from tradewind.functions import text, times
 from tradewind.operators.lookup import lookup_join
 
 _TIME = "__time"
+FACT_DAY = "fact_day"  # partition column of a stored fact
 
 
 # ---- roll-ups ---------------------------------------------------------------------------
@@ -63,8 +64,15 @@ def funnel(events: DataFrame, stage: Column) -> DataFrame:
 
 # ---- single figures ---------------------------------------------------------------------
 
+def _from_day(dws: DataFrame, as_of, length: str) -> DataFrame:
+    """A fact stored by day is pruned to the days of the length; the time column itself can't do that."""
+    if FACT_DAY not in dws.columns:
+        return dws
+    return dws.filter(F.col(FACT_DAY) >= times.before(as_of, length).cast("date"))
+
+
 def _recent(dws: DataFrame, as_of, length: str) -> DataFrame:
-    return dws.filter(times.since(F.col(_TIME), as_of, length))
+    return _from_day(dws, as_of, length).filter(times.since(F.col(_TIME), as_of, length))
 
 
 def _count() -> Column:
@@ -142,7 +150,7 @@ def week_sales(spark: SparkSession, dws: DataFrame, as_of) -> DataFrame:
     back, so no day belongs to both.
     """
     ts = F.col(_TIME)
-    by_day = (dws.filter(times.since(ts, as_of, "6 DAY") | times.shifted_week(ts, as_of))
+    by_day = (_from_day(dws, as_of, "14 DAY").filter(times.since(ts, as_of, "6 DAY") | times.shifted_week(ts, as_of))
               .groupBy(times.day_key(ts).alias("day"))
               .agg(text.money_sum(F.col("totalMoney")).cast("bigint").alias("sales")))
     spine = day_spine(spark, as_of, 7).unionByName(

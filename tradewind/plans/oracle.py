@@ -457,6 +457,8 @@ for _name in ("c1_fail_then_success", "c2a_repeated", "c2b_repeated_same", "c5a_
     ORACLES[f"{_name}_stream"] = ORACLES[_name]
 for _name in ("c1_fail_then_success", "c2b_repeated_same", "c3_paid_or_timeout"):
     ORACLES[f"{_name}_bursts"] = ORACLES[_name]
+for _name, _of in (("a0_rollup_by_day", "a0_order_rollup"), ("a3_orders_1d_by_day", "a3_orders_1d"), ("a7_week_sales_by_day", "a7_week_sales")):
+    ORACLES[_name] = ORACLES[_of]
 for _t in schemas.DIMENSIONS:
     ORACLES[f"k2_sync_{_t}"] = ORACLES[f"k2_state_{_t}"]
 for _name in ("early", "midway", "late"):
