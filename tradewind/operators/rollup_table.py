@@ -21,11 +21,15 @@ SKETCH_BITS = 14  # 16 kB at most; a standard error below one percent
 
 # ---- order fact -------------------------------------------------------------------------
 
-def write_days(fact: DataFrame, path: str) -> None:
-    """Replace the days that `fact` has rows of; other days stay. Rows without a time share a partition of their own."""
+def write_days(fact: DataFrame, path: str, *, rolled_up: bool = False) -> None:
+    """Replace the days that `fact` has rows of; other days stay. Rows without a time share a partition of their own.
+
+    Days are dealt to tasks by size, and run-time planning cuts a day that is too much for one. A fact that is `rolled_up`
+    has at most a row for each minute, area and status of a day; its days are small and many, and dealt by number."""
     days = fact.withColumn(DAY, F.col("__time").cast("date"))
-    # Few files a day; run-time planning cuts a day that is too much for one task.
-    days.hint("rebalance", DAY).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
+    tasks = 2 * fact.sparkSession.sparkContext.defaultParallelism
+    dealt = days.repartition(tasks, DAY) if rolled_up else days.hint("rebalance", DAY)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DAY).parquet(path)
 
 
 def read_days(spark: SparkSession, path: str) -> DataFrame:
@@ -46,7 +50,7 @@ def refresh_days(orders: DataFrame, late: DataFrame, path: str, *, grain: str =
     # As text the time sorts like the time itself, so these bounds reach the scan.
     near = orders.filter(F.col("createTime").between(f"{first} 00:00:00", f"{last} 23:59:59"))
     touched = near.withColumn("_day", _created_day()).join(F.broadcast(days), "_day", "left_semi").drop("_day")
-    write_days(metrics.order_rollup(touched, grain=grain), path)
+    write_days(metrics.order_rollup(touched, grain=grain), path, rolled_up=True)
 
 
 def _created_day() -> Column:

@@ -425,11 +425,11 @@ def a0_rollup_stream(spark, root):
 
 @query
 def a0_rollup_by_day(spark, root):
-    """The stored roll-up: written without one order in seven, which come late and renew their days."""
+    """The stored roll-up: written without the orders of the last quarter of 1997, which come late and renew their days."""
     orders = changefeed.orders(changefeed.inserts(changefeed.of_table(tables.order_changes(spark, root), "orders")))
-    late = F.pmod(F.xxhash64("orderId"), F.lit(7)) == 0
+    late = F.coalesce(F.col("createTime").between("1997-10-01", "1998-01-01"), F.lit(False))
     path = session.scratch_dir(spark, "rollup")
-    rollup_table.write_days(metrics.order_rollup(orders.where(~late)), path)
+    rollup_table.write_days(metrics.order_rollup(orders.where(~late)), path, rolled_up=True)
     rollup_table.refresh_days(orders, orders.where(late), path)
     return rollup_table.read_days(spark, path).drop(rollup_table.DAY)
 
