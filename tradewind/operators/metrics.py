@@ -16,6 +16,7 @@ from tradewind.operators.lookup import lookup_join
 
 _TIME = "__time"
 FACT_DAY = "fact_day"  # partition column of a stored fact
+STAGES = ("browse", "cart", "order", "pay")
 
 
 # ---- roll-ups ---------------------------------------------------------------------------

@@ -142,6 +142,11 @@ _wide = f"SELECT {BASE}, {WIDE}, eventType FROM lines l LEFT JOIN profile p ON p
 sql("j1_order_lines", _wide, LINES, *DIMS)
 sql("j1_order_lines_drop", _wide + " WHERE cat3Id IS NOT NULL AND cat2Id IS NOT NULL AND cat1Id IS NOT NULL",
     LINES, *DIMS)
+_ARRIVAL = """arrival AS (SELECT l_partkey AS arrived, min(l_shipdate) + (l_partkey % 5) * INTERVAL 12 HOUR AS since FROM lineitem
+  GROUP BY l_partkey)"""
+sql("j1_lines_await_goods", f"""SELECT {BASE}, {WIDE}, eventType FROM lines l LEFT JOIN arrival a ON arrived = l.goodsId
+  LEFT JOIN profile p ON p.goodsId = l.goodsId AND (l.goodsId % 3 = 0 OR since <= createTime + INTERVAL 1 DAY)""",
+    LINES, _ARRIVAL, *DIMS)
 sql("f3_inserted_lines", _wide + " WHERE eventType = 'insert'", LINES, *DIMS)
 
 _EVENT = "CASE WHEN o_orderstatus = 'P' THEN 'update' ELSE 'insert' END"
@@ -362,6 +367,7 @@ sql("a25_dashboard", " UNION ALL ".join([
     _NAMED("top8orderNum", "orders", 8), _DAYS("weekOrderFinish", "n", recent(EV, "7 DAY"), "d"),
     _NAMED("top4sale", "sales", 4), _NAMED("chinaMap", "orders", 1 << 30)]),
     DWS_E, AREAS, _BY_AREA, VISITS, _FUNNEL, _SPINE)
+ORACLES["a25_dashboard_live"] = ORACLES["a25_dashboard"]
 sql("a26_orders_per_customer", """SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS position,
   o_orderkey AS value, count(*) OVER (PARTITION BY o_custkey) AS length FROM orders""")
 sql("o3_latest_goods", "SELECT goodsId, goodsName FROM goods ORDER BY goodsId DESC LIMIT 10", GOODS)

@@ -4,6 +4,7 @@ results in plain SQL."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from tradewind.functions import geo, text, times, weblog
 from tradewind.operators import backfill, changefeed, dims, ip_ranges, metrics, patterns, rollup_table, widen
 from tradewind.plans.dashboard import dashboard, entries
 from tradewind.sources import streams, tables
-from tradewind.streaming import handover, jobs, sequences, sinks, staging, timeouts
+from tradewind.streaming import handover, jobs, panels, pending, sequences, sinks, staging, timeouts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -274,6 +275,21 @@ def f3_inserted_lines(spark, root):
     return changefeed.inserts(widen.order_lines(tables.line_changes(spark, root), _dims(spark, root)))
 
 
+@query
+def j1_lines_await_goods(spark, root):
+    """Order lines that come before their goods wait a day for them: fields of the streaming job's JSON records."""
+    feed = tables.late_goods_feed(spark, root)
+    end = F.unix_millis(F.lit(jobs.END_OF_TIME).cast("timestamp"))
+    history = _staged(spark, feed, F.col("executeTime"), "j1-await", executeTime=end, eventType="end",
+                      columns=F.create_map(F.lit("end"), F.lit("")))
+    d = replace(_dims(spark, root), goods=tables.known_goods(spark, root))
+    out = history.folder
+    history.feed(pending.waiting_lines_job(history.stream(), lambda: d, f"{out}/json", f"{out}/checkpoint", wait="1 DAY",
+                                           delay="0 seconds", fmt="parquet", once=staging.AT_ONCE))
+    wide = widen.order_lines(feed, d).schema
+    return spark.read.schema("value string").parquet(f"{out}/json").select(F.from_json("value", wide).alias("r")).select("r.*")
+
+
 @query
 def j2_goods(spark, root):
     return widen.goods(tables.goods_changes(spark, root), _dims(spark, root))
@@ -617,6 +633,22 @@ def a25_dashboard(spark, root):
     return entries(_document(spark, root))
 
 
+@query
+def a25_dashboard_live(spark, root):
+    """Every entry of the document over live panels, after the history of events has come in, range after range."""
+    events = tables.load(spark, root, "events")
+    history = _staged(spark, events, times.micros(F.col("ts")), "a25")
+    live, path = history.stream(), f"{history.folder}/panels"
+    first, *others = panels.start(tables.dws_events(spark, root, live), tables.visits(spark, root, live), _stage(), path,
+                                  f"{history.folder}/checkpoint", once=staging.AT_ONCE)
+    try:
+        history.feed(first, lambda _: [q.processAllAvailable() for q in others])
+    finally:
+        for q in others:
+            q.stop()
+    return entries(panels.document(spark, path, tables.areas(spark, root), "2024-01-30", EV))
+
+
 @query
 def a25_dashboard_fields(spark, root):
     """Figures taken back out of the document."""

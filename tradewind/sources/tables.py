@@ -132,9 +132,10 @@ def ip_ranges(spark, root) -> DataFrame:
 
 # ---- facts ------------------------------------------------------------------------------
 
-def dws_events(spark, root) -> DataFrame:
+def dws_events(spark, root, rows: DataFrame | None = None) -> DataFrame:
     """Hour-level order facts."""
-    return load(spark, root, "events").select(
+    events = load(spark, root, "events") if rows is None else rows
+    return events.select(
         F.col("ts").alias("__time"),
         (F.col("user_id") % AREA_IDS).cast("int").alias("areaId"),
         F.when(F.col("event_type") == "purchase", 2).otherwise(0).alias("orderStatus"),
@@ -207,6 +208,21 @@ def line_changes(spark, root, rows: DataFrame | None = None) -> DataFrame:
     return _changes(l, "order_goods", event, F.col("l_shipdate"), position, fields)
 
 
+def known_goods(spark, root) -> DataFrame:
+    """Goods that are in the table when a job begins; all others are announced by the feed."""
+    return goods(spark, root).where(F.col("goodsId") % 3 == 0)
+
+
+def late_goods_feed(spark, root) -> DataFrame:
+    """Order-line changes, and the other goods' inserts between them: up to two days behind the first line that names them."""
+    lines = line_changes(spark, root)
+    first = load(spark, root, "lineitem").groupBy("l_partkey").agg(F.min("l_shipdate").alias("_first"))
+    late = goods(spark, root).where(F.col("goodsId") % 3 != 0).join(first, F.col("goodsId") == F.col("l_partkey"))
+    names = [c for c in late.columns if c not in ("l_partkey", "_first")]
+    when = F.col("_first") + F.make_dt_interval(hours=(F.col("goodsId") % 5 * 12).cast("int"))
+    return lines.unionByName(_changes(late, "goods", F.lit("insert"), when, F.col("goodsId"), {c: F.col(c) for c in names}))
+
+
 def goods_changes(spark, root) -> DataFrame:
     """Goods rows with every column the goods wide record takes from the feed."""
     shops_n = load(spark, root, "supplier").select(F.count("*")).scalar()
