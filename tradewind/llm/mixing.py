@@ -22,6 +22,7 @@ from tradewind.llm.common import durable, null_safe, prefix_sums, row_hash
 BLOCK, SLOTS, SEED = 128, 1 << 16, 11
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 MAX_SOURCES = 100_000  # the list of sources is configuration; a longer one is refused, not cut
+RUN, SLOTS_PER_TASK, MOST_TASKS = 4096, 1 << 16, 10_000  # how the filling of slots is dealt to tasks
 KEY = ["doc_id", "_row"]
 _U = np.uint64
 
@@ -107,6 +108,13 @@ def slots(sources: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS,
         W.partitionBy("source_no").orderBy("shard").rowsBetween(*earlier)), F.lit(0))).withColumn(
         "slot", F.coalesce(F.sum("n").over(W.partitionBy("shard").orderBy("source_no").rowsBetween(*earlier)), F.lit(0)))
 
+    # A few hundred bytes of counts grow to all slots: they are cut into runs and dealt to as many tasks as the slots need.
+    # Runs are numbers, so a task's memory is one run, however many it has.
+    at = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(RUN).cast("bigint"))).alias("_at")
+    runs = begun.select("*", at).select("shard", "source_no", "blocks", *[(F.col(c) + F.col("_at")).alias(c) for c in ("begin", "slot")],
+                                        F.least(F.col("n") - F.col("_at"), F.lit(RUN)).alias("n"))
+    dealt = runs.repartition(min(MOST_TASKS, 1 + total // SLOTS_PER_TASK), "shard", "source_no", "begin")
+
     def fill(frames):
         for frame in frames:
             for r in frame.itertuples():
@@ -116,7 +124,7 @@ def slots(sources: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS,
                 yield pd.DataFrame({"shard": r.shard, "slot": r.slot + np.arange(r.n), "source_no": r.source_no,
                                     "round": turn, "block": permuted(j % r.blocks, np.full(r.n, r.blocks), key)})
 
-    return begun.mapInPandas(fill, "shard bigint, slot bigint, source_no bigint, round bigint, block bigint").where(
+    return dealt.mapInPandas(fill, "shard bigint, slot bigint, source_no bigint, round bigint, block bigint").where(
         F.col("round") < MOST)
 
 
@@ -141,7 +149,8 @@ def mix(docs: DataFrame, block: int = BLOCK, slots_per_shard: int = SLOTS, seed:
     begin = F.greatest(F.col("block") * block - F.col("_before"), F.lit(0))
     end = F.least((F.col("block") + 1) * block - F.col("_before"), F.col("size"))
     parts = parts.select(*KEY, "_id", "source_no", "block", begin.alias("begin"), end.alias("end"))
-    return rows, sources, parts.join(chosen, ["source_no", "block"])
+    # Slots are as many as the corpus has blocks, which the planner can't see: it would broadcast them.
+    return rows, sources, parts.join(chosen.hint("merge"), ["source_no", "block"])
 
 
 def totals(docs: DataFrame, **how) -> DataFrame:
