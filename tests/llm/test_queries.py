@@ -9,8 +9,10 @@ import zlib
 from collections import Counter
 
 import compare
+import duckdb
 import pytest
 
+from tradewind.llm import line_crf
 from tradewind.llm.oracle import ORACLES
 from tradewind.llm.queries import QUERIES
 
@@ -31,6 +33,10 @@ def test_sql(spark, con, root, name):
     assert compare.difference(QUERIES[name](spark, root), con, ORACLES[name]) is None
 
 
+def words_of(text):
+    return WORD.findall(text)
+
+
 def base_counts(text):
     words, seen, dup = WORD.findall(text), set(), 0
     for line in text.split("\n"):
@@ -58,6 +64,39 @@ def test_line_crf(spark, con, root):
     assert judged[judged.quality == 1].kept.mean() > 0.97 and judged[judged.quality == 0].kept.mean() < 0.2
 
 
+def test_line_crf_parts_good_and_bad_lines_of_one_text(spark):
+    """Trained on labels of one half of the texts; texts of the other half are put together, good and bad, in both orders."""
+    con = duckdb.connect()
+    docs, labels = (con.execute(f"SELECT * FROM '/root/testdata/sf0.01/{t}.parquet'").df() for t in ("documents", "labels"))
+    known = docs.merge(labels, on="doc_id").sort_values("doc_id")
+    frame = lambda rows, schema: spark.createDataFrame([tuple(r) for r in rows], schema)
+    learn = known[known.doc_id % 2 == 0]
+    model = line_crf.fit(frame(learn[["doc_id", "text"]].itertuples(index=False), "doc_id bigint, text string"),
+                         frame(learn[["doc_id", "quality"]].itertuples(index=False), "doc_id bigint, quality int"))
+    rest = known[(known.doc_id % 2 == 1) & (known.text.str.len() > 200)]
+    good = rest[(rest.quality == 1) & rest.text.str.contains("\n")].text.tolist()
+    bad = rest[rest.quality == 0].text.tolist()
+    pairs = [(good[i % len(good)], b, i % 2) for i, b in enumerate(bad)]
+    texts = [(i, f"{b}\n{g}" if turned else f"{g}\n{b}") for i, (g, b, turned) in enumerate(pairs)]
+    got = {r.doc_id: r for r in line_crf.judged(frame(texts, "doc_id bigint, text string"), model).collect()}
+    both = kept_words = good_words = cut_words = bad_words = 0
+    for i, (g, b, turned) in enumerate(pairs):
+        own, marks = texts[i][1].split("\n"), got[i].labels
+        assert len(own) == len(marks)
+        at = b.count("\n") + 1 if turned else g.count("\n") + 1
+        content = [(k >= at) == bool(turned) for k in range(len(own))]
+        size = [len(words_of(x)) for x in own]
+        both += len({m for m, n in zip(marks, size) if n}) == 2
+        good_words += sum(n for n, c in zip(size, content) if c)
+        kept_words += sum(n for n, c, m in zip(size, content, marks) if c and m == "C")
+        bad_words += sum(n for n, c in zip(size, content) if not c)
+        cut_words += sum(n for n, c, m in zip(size, content, marks) if not c and m == "B")
+        share = sum(n for n, m in zip(size, marks) if m == "C")
+        assert got[i].n_content_words == share and got[i].kept == (not got[i].base_failed and 2 * share >= sum(size))
+    assert len(pairs) > 20 and both > 0.9 * len(pairs), (both, len(pairs))
+    assert kept_words > 0.97 * good_words and cut_words > 0.9 * bad_words, (kept_words / good_words, cut_words / bad_words)
+
+
 def test_page_diff(spark, con, root):
     got = QUERIES["op3_page_diff"](spark, root).toPandas().set_index("page_id")
     pages = table(con, "pages")

@@ -1,13 +1,14 @@
 """Quality rules by line labelling: a linear-chain conditional random field marks content and boilerplate.
 
-A line is described by a few binned features. The field scores each label by the weights of the line's
+A line is described by a few binned features of its own; nothing of the whole text is among them, so that good and bad
+lines of one text can part. The field scores each label by the weights of the line's
 bins plus transitions between neighbours; Viterbi decoding takes the best labelling of a whole text.
 A text is kept if at least half of its words stand in content lines.
 
 Labels of lines are not given, so training starts from labels of texts: lines of good texts are content,
 lines of bad ones boilerplate. A model of single lines learned from that finds the ordinary lines inside
-bad texts; with these turned to content, the field is trained by its likelihood (forward-backward). Training
-runs in the driver on at most `TRAIN` labelled texts of at most `MAX_LINES` lines each.
+bad texts; with these turned to content, the field is trained by its likelihood (forward-backward), on the texts and on good and bad
+ones put together, which show it where labels change. Training runs in the driver on at most `TRAIN` labelled texts of at most `MAX_LINES` lines each.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ def _bin(value: np.ndarray, edges: list[float]) -> np.ndarray:
 
 
 #: Number of bins of each feature, in the order of `describe`.
-SIZES = [6, 5, 5, 4, 4, 4, 4, 2, 2, 4, 3]
+SIZES = [6, 5, 4, 4, 4, 4, 2, 2, 4, 3]
 
 
 def describe(s: Stats) -> np.ndarray:
@@ -44,7 +45,6 @@ def describe(s: Stats) -> np.ndarray:
     first = np.append(True, s.line_last[:-1]) if len(s.line_last) else s.line_last
     return np.stack([
         _bin(s.line_words, [0, 1, 4, 9, 24]),
-        _bin(s.n_symbols[s.line_doc] / np.maximum(s.word_chars, 1)[s.line_doc], [0, 0.01, 0.05, 0.15]),
         _bin(s.line_counts["symbols"] / chars, [0, 0.02, 0.06, 0.15]),
         _bin(s.line_counts["upper"] / letters, [0.15, 0.4, 0.8]),
         _bin(s.line_counts["pipes"] / words, [0, 0.2, 0.4]),
@@ -103,18 +103,28 @@ def _line_model(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w[x].sum(1) + bias
 
 
+def _spliced(good: list[tuple], bad: list[tuple]) -> list[tuple]:
+    """Good and bad texts put together in pairs, either first: whole texts alone would teach that a label hardly ever changes."""
+    pairs = [(good[i % len(good)], bad[i % len(bad)]) for i in range(max(len(good), len(bad)))]
+    return [tuple(np.concatenate(part) for part in zip(*(pair[::-1] if i % 2 else pair))) for i, pair in enumerate(pairs)]
+
+
 def train(texts: list[np.ndarray], bad: np.ndarray) -> Field:
     """From described texts and their labels. Without both labels all is content."""
     model = Field.blank()
     if len(np.unique(bad)) < 2:
         model.start[BOILERPLATE] = -1.0
         return model
-    size = np.array([len(t) for t in texts])
-    order = np.argsort(-size, kind="stable")
-    texts, bad, size = [texts[i] for i in order], bad[order], size[order]
     x = np.concatenate(texts) + OFFSETS
-    owner = np.repeat(np.arange(len(texts)), size)
-    y = bad[owner] * (_line_model(x, bad[owner].astype(float)) > 0)
+    ends = np.cumsum([len(t) for t in texts])
+    label = np.repeat(bad, [len(t) for t in texts])
+    label = label * (_line_model(x, label.astype(float)) > 0)
+    own = [(x[e - len(t):e], label[e - len(t):e]) for t, e in zip(texts, ends)]
+    own += _spliced([t for t, b in zip(own, bad) if not b], [t for t, b in zip(own, bad) if b])
+    own.sort(key=lambda t: -len(t[0]))
+    x, y = np.concatenate([t[0] for t in own]), np.concatenate([t[1] for t in own])
+    size = np.array([len(t[0]) for t in own])
+    owner = np.repeat(np.arange(len(own)), size)
     # Lines by place in their text: the texts that have a t-th line are the first ones, as they are sorted by size.
     begin = np.concatenate(([0], np.cumsum(size)[:-1]))
     active = [int((size > t).sum()) for t in range(size.max())]
@@ -142,7 +152,7 @@ def train(texts: list[np.ndarray], bad: np.ndarray) -> Field:
         pairs = np.flatnonzero(same[:len(x)])
         joint = np.exp(alpha[pairs][:, :, None] + move + (emit + beta)[pairs + 1][:, None, :] - log_z[pairs][:, None, None])
         grad = np.concatenate([seen_bins - np.bincount(x.ravel(), np.repeat(p[:, 1], x.shape[1]), sum(SIZES)),
-                               (seen_move - joint.sum(0)).ravel(), seen_start - p[begin].sum(0)]) / len(texts)
+                               (seen_move - joint.sum(0)).ravel(), seen_start - p[begin].sum(0)]) / len(own)
         grad -= RIDGE * theta
         m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
         theta = theta + RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -167,10 +177,10 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = TRAIN, max_lines: int =
                      batch.column(1).slice(block.first, block.n).take(pa.array(few)),
                      pa.array([cells[ends[i]:ends[i + 1]].tobytes() for i in few], pa.binary())], names=["doc_id", "bad", "cells"])
 
-    # `size` rows of 12 bytes at most.
+    # `size` rows of 12 bytes at most. Of rows with one id one is used, so that as many come to the driver as there are ids.
     known = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select(
-        "doc_id", "bad", "text").mapInArrow(run, "doc_id bigint, bad int, cells binary")
-    rows = sorted({(r["doc_id"], r["bad"], bytes(r["cells"])) for r in known.collect()})
+        "doc_id", "bad", "text").mapInArrow(run, "doc_id bigint, bad int, cells binary").groupBy("doc_id", "bad").agg(F.max("cells").alias("cells"))
+    rows = sorted((r["doc_id"], r["bad"], bytes(r["cells"])) for r in known.collect())
     return train([np.frombuffer(r[2], np.uint8).reshape(-1, len(SIZES)).astype(int) for r in rows],
                  np.array([r[1] for r in rows], int))
 
