@@ -260,6 +260,9 @@ sql("a0_rollup_stream", _ROLLUP + " GROUP BY ALL")
 _DAILY = """SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS pv, count(DISTINCT guid) AS uv,
   count(DISTINCT ip) AS ip FROM visits"""
 sql("a1_daily_visitors", _DAILY + " GROUP BY 1", VISITS)
+sql("a1_visitors_by_sketch", f"""SELECT CAST(d AS INTEGER) AS days, count(ts) AS pv, true AS uv_near, true AS ip_near
+  FROM (VALUES (1), (7), (30)) t(d) LEFT JOIN events ON CAST(ts AS DATE) <= CAST({EV} AS DATE)
+  AND CAST(ts AS DATE) > CAST({EV} AS DATE) - d GROUP BY d""")
 sql("a1_visitors_stream", _DAILY + " GROUP BY 1", VISITS)
 sql("a1_visitors_on_day", """SELECT d AS day, count(event_id) AS pv, count(DISTINCT guid) AS uv, count(DISTINCT ip) AS ip
   FROM (VALUES ('2024-01-30'), ('2024-02-10')) t(d) LEFT JOIN visits ON strftime(ts, '%Y-%m-%d') = d GROUP BY d""", VISITS)

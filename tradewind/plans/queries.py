@@ -469,12 +469,19 @@ def a7_week_sales_by_day(spark, root):
 
 @query
 def a1_visitors_by_sketch(spark, root):
-    """Counters of 1, 7 and 30 days from one stored row a day; visitors and addresses are estimates."""
+    """Counters of 1, 7 and 30 days from one stored row a day; visitors and addresses are estimates, held to the exact counts
+    of the visits: `uv_near` and `ip_near` say whether they are within 3 percent."""
     path = session.scratch_dir(spark, "visitors")
-    rollup_table.write_sketches(rollup_table.visitor_sketches(tables.visits(spark, root)), path)
+    visits = tables.visits(spark, root)
+    rollup_table.write_sketches(rollup_table.visitor_sketches(visits), path)
     stored = spark.read.parquet(path)
     one, week, month = (rollup_table.visitors_over(stored, EV, n) for n in (1, 7, 30))
-    return one.union(week).union(month)
+    back = F.datediff(F.lit(EV).cast("date"), F.col("ts").cast("date"))
+    pairs = visits.where((back >= 0) & (back < 30)).groupBy("guid", "ip").agg(F.min(back).alias("_back"))
+    exact = pairs.select("guid", "ip", F.explode(F.filter(F.array(*map(F.lit, (1, 7, 30))), lambda n: n > F.col("_back"))).alias("days"))
+    exact = exact.groupBy("days").agg(F.count_distinct("guid").alias("_uv"), F.count_distinct("ip").alias("_ip"))
+    near = lambda c: (F.abs(F.col(c) - F.coalesce(f"_{c}", F.lit(0))) * 100 <= 3 * F.coalesce(f"_{c}", F.lit(0))).alias(f"{c}_near")
+    return one.union(week).union(month).join(exact, "days", "left").select("days", "pv", near("uv"), near("ip"))
 
 
 @query
