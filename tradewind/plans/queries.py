@@ -51,7 +51,9 @@ def _staged(spark, rows: DataFrame, at: Column, purpose: str, **closing) -> stag
 def _run(history: staging.Staged, rows: DataFrame) -> DataFrame:
     """A streaming result over the whole history."""
     out = f"{history.folder}/out"
-    history.feed(sinks.write_rows(rows, out, f"{history.folder}/checkpoint", once=staging.AT_ONCE))
+    with session.state_partitions(rows.sparkSession):
+        query = sinks.write_rows(rows, out, f"{history.folder}/checkpoint", once=staging.AT_ONCE)
+    history.feed(query)
     return rows.sparkSession.read.schema(rows.schema).parquet(out)
 
 
