@@ -55,13 +55,20 @@ def order_lines_job(changes: DataFrame, dimensions: Callable[[], Dimensions], ta
     order = list(changefeed.CHANGE_ORDER)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        wide = widen.order_lines(batch, dimensions(), on_missing=on_missing, keep=order).persist()
+        now = dimensions()
+        widened = lambda rows: widen.widen_lines(rows, now, on_missing=on_missing, keep=order)
+        lines = batch.select(*order, *changefeed.typed(schemas.ORDER_LINE), "eventType").persist()
         try:
-            sinks.write_json_batch(changefeed.inserts(wide).drop(*order, "eventType"), target,
-                                   batch_id, fmt=fmt, **options)
-            sinks.append_changes(wide, batch_id, table, ["ogId"], order)
+            new = widened(changefeed.inserts(lines)).drop(*order, "eventType")
+            sinks.write_json_batch(new, target, batch_id, fmt=fmt, **options)
+            # Reduced before it is widened, so that narrow rows are shuffled. Where widening leaves lines out, it has to
+            # come first: an older line that stays counts then.
+            if on_missing == "default":
+                sinks.append_changes(lines, batch_id, table, ["ogId"], order, finish=widened)
+            else:
+                sinks.append_changes(widened(lines), batch_id, table, ["ogId"], order)
         finally:
-            wide.unpersist()
+            lines.unpersist()
 
     return sinks.each_batch(changefeed.of_table(_delivered(changes, redelivery), "order_goods"), write, checkpoint, once=once)
 

@@ -72,13 +72,15 @@ BUCKETS = 16  # of every fold; part of the format
 
 
 def append_changes(batch: DataFrame, batch_id: int, path: str, key: list[str], order: list[str], *,
-                   event: str = "eventType", reduce_every: int = REDUCE_EVERY) -> None:
-    """Keep a micro-batch's last change per key, deletes included. A batch that ends a span of `reduce_every` batches,
+                   event: str = "eventType", reduce_every: int = REDUCE_EVERY,
+                   finish: Callable[[DataFrame], DataFrame] = lambda last: last) -> None:
+    """Keep a micro-batch's last change per key, deletes included. `finish` adds columns to these: it keeps every row, the
+    key, the order and the event. A batch that ends a span of `reduce_every` batches,
     or of a power of that, folds the largest such span. Writing costs the batch's share: a fold reads the folds inside its
     span, never what lies before it."""
     values = [c for c in batch.columns if c not in (*key, *order, event)]
     last = changefeed.latest(batch, key, order, values, event=event, with_deleted=True)
-    last.write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
+    finish(last).write.mode("overwrite").parquet(f"{path}/changes/batch_id={batch_id}")
     level = 0
     while (batch_id + 1) % reduce_every ** (level + 1) == 0:
         level += 1
@@ -195,6 +197,8 @@ def read_latest(spark: SparkSession, path: str, key: list[str], order: list[str]
     if rows is None:
         return None
     values = [c for c in rows.columns if c not in (*key, *order, event)]
+    if len(folds) + len(batches) == 1:  # one folder has one row per key already
+        return rows.where(F.col(event) != "delete").select(*key, *values)
     return changefeed.latest(rows, key, order, values, event=event)
 
 
