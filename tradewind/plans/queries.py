@@ -934,8 +934,10 @@ def c4_unpaid_orders_job(spark, root):
     history = _staged(spark, tables.payment_changes(spark, root), F.col("executeTime"), "c4", executeTime=past,
                       tableName="orders", eventType="end", columns=F.create_map(F.lit("end"), F.lit("")))
     out = history.folder
-    history.feed(jobs.unpaid_orders_job(history.stream(), f"{out}/json", f"{out}/checkpoint", buckets=32, fmt="parquet",
-                                        once=staging.AT_ONCE))
+    with session.state_partitions(spark):
+        job = jobs.unpaid_orders_job(history.stream(), f"{out}/json", f"{out}/checkpoint", buckets=32, fmt="parquet",
+                                     once=staging.AT_ONCE)
+    history.feed(job)
     made = spark.read.schema("value string").parquet(f"{out}/json").select(
         F.from_json("value", schemas.ddl(schemas.ORDER)).alias("o"))
     return made.select("o.orderId", "o.userId", "o.totalMoney", "o.isPay")
