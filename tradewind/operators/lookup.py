@@ -7,10 +7,12 @@ is scanned once, and run-time planning splits partitions that turn out too large
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_LIMIT = 256 * 1024 * 1024
+# The driver collects a lookup's rows and builds the hash table, whose pages grow by doubling, and other lookups may be under way.
+HEAP_SHARE = 8
 # A row in a broadcast hash table is far larger than the same row in compressed parquet.
 EXPANSION = 32
 
@@ -23,19 +25,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
     return int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes that a lookup may take in a broadcast: fewer where the driver's heap is small."""
+    heap = int(spark._jvm.java.lang.Runtime.getRuntime().maxMemory())
+    return min(BROADCAST_LIMIT, heap // HEAP_SHARE)
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Catalyst's usual size of a row with these columns."""
+    return 8 + int(df._jdf.schema().defaultSize())
+
+
 def fits_broadcast(df: DataFrame, sized_by: list[DataFrame] | None = None,
                    limit: int | None = None) -> bool:
     """True when an upper estimate of `df` in memory is inside the limit.
 
     `sized_by` names the base tables whose rows bound those of `df`. It matters for a lookup
     that is itself a chain of key joins: Catalyst multiplies the inputs' sizes there, while
-    such a chain never has more rows than its first table.
+    such a chain never has more rows than its first table. It has more columns, though, and
+    those count: a row is taken as many times larger as the chain is wider than its tables.
     """
-    limit = BROADCAST_LIMIT if limit is None else limit
-    sizes = [estimated_bytes(d) for d in (sized_by or [df])]
+    bases = sized_by or [df]
+    sizes = [estimated_bytes(d) for d in bases]
     if any(s is None for s in sizes):
         return False
-    return sum(sizes) * EXPANSION <= limit
+    limit = broadcast_limit(df.sparkSession) if limit is None else limit
+    wider = max(1.0, row_bytes(df) / sum(map(row_bytes, bases)))
+    return sum(sizes) * EXPANSION * wider <= limit
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, on, how: str = "left", *,
